@@ -4,18 +4,52 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leafwork.llm import contamination, residue, splitter, stuffing
+from leafwork.llm import contamination, mixing, residue, scan_repair, splitter, stuffing, truncation
 from leafwork.runtime import table
 
 
+IMAGE = ["doc_id", "image_id"]
+
+
+def _truncated(spark, root):
+    """The truncated descriptions that aren't residue."""
+    images = table(spark, root, "images")
+    return truncation.find_truncated(images, IMAGE, "description").join(residue.detect_residue(images, IMAGE, "description"), IMAGE, "left_anti")
+
+
+def p1_found(spark, root):
+    return _truncated(spark, root).select("doc_id", F.col("image_id").cast("long").alias("image_id"))
+
+
+def p1_rates(spark, root):
+    """For each describer the share of its descriptions that were cut."""
+    return truncation.rates(table(spark, root, "images"), IMAGE, "description", "describer", _truncated(spark, root))
+
+
+TEXT = ["table_name", "doc_id", "item_id"]
+
+
+def _scanned(spark, root):
+    return scan_repair.scanned_texts(table(spark, root, "images"), table(spark, root, "layout_kids"))
+
+
+def p2_found(spark, root):
+    return scan_repair.find_scan_noise(_scanned(spark, root), TEXT)
+
+
+def p2_repaired(spark, root):
+    """Each noisy text as continuous paragraphs."""
+    return scan_repair.repair(_scanned(spark, root), TEXT)
+
+
 def p3_found(spark, root):
-    return residue.detect_residue(table(spark, root, "images"), ["doc_id", "image_id"], "description").select("doc_id", F.col("image_id").cast("long").alias("image_id"))
+    return residue.detect_residue(table(spark, root, "images"), IMAGE, "description").select("doc_id", F.col("image_id").cast("long").alias("image_id"))
 
 
 def p3_kinds(spark, root):
     """How many records of each describer are residue, by kind."""
     images = table(spark, root, "images")
-    cases = residue.detect_residue(images, ["doc_id", "image_id"], "description").select("doc_id", "image_id", F.explode("kinds").alias("kind"))
+    cases = residue.detect_residue(images, IMAGE, "description").select("doc_id", "image_id", F.explode("kinds").alias("kind"))
     who = images.groupBy("doc_id", "image_id").agg(F.max("describer").alias("describer"))
     return cases.join(who, ["doc_id", "image_id"]).groupBy("describer", "kind").agg(F.count(F.lit(1)).alias("records"))
 
@@ -23,7 +57,7 @@ def p3_kinds(spark, root):
 def p3_kept(spark, root):
     """The descriptions that stay: content, and no residue."""
     images = table(spark, root, "images")
-    cases = residue.detect_residue(images, ["doc_id", "image_id"], "description").select("doc_id", "image_id")
+    cases = residue.detect_residue(images, IMAGE, "description").select("doc_id", "image_id")
     kept = images.where(residue.has_content(F.col("description"))).groupBy("doc_id", "image_id").agg(F.max("description").alias("description"))
     return kept.join(cases, ["doc_id", "image_id"], "left_anti")
 
@@ -68,6 +102,17 @@ def p6_removed(spark, root):
     return contamination.without_leaks(documents, contamination.find_leaks(documents, table(spark, root, "eval_items"), spans=True))
 
 
+def p7_mixture(spark, root):
+    """How many copies of which document the mixture has."""
+    return mixing.mix(table(spark, root, "documents"), table(spark, root, "mix_targets"))[0]
+
+
+def p7_shares(spark, root):
+    """Target and actual shares of the sources."""
+    targets = table(spark, root, "mix_targets")
+    return mixing.shares(*mixing.mix(table(spark, root, "documents"), targets), targets)
+
+
 def p8_found(spark, root):
     return stuffing.find_stuffed(table(spark, root, "documents"))
 
@@ -78,6 +123,10 @@ def p8_parts(spark, root):
 
 
 QUERIES = {
+    "p1_found": (p1_found, None),
+    "p1_rates": (p1_rates, None),
+    "p2_found": (p2_found, None),
+    "p2_repaired": (p2_repaired, None),
     "p3_found": (p3_found, None),
     "p3_kinds": (p3_kinds, None),
     "p3_kept": (p3_kept, None),
@@ -86,6 +135,8 @@ QUERIES = {
     "p6_found": (p6_found, None),
     "p6_items": (p6_items, None),
     "p6_removed": (p6_removed, None),
+    "p7_mixture": (p7_mixture, None),
+    "p7_shares": (p7_shares, None),
     "p8_found": (p8_found, None),
     "p8_parts": (p8_parts, None),
 }

@@ -29,6 +29,7 @@ PLACEHOLDERS = {
     "double_angle": rf"<<\s*{_NAME}\s*>>",
     "at": r"@@[A-Za-z_.]{2,40}@@",
     "percent": r"%%[A-Za-z_.]{2,40}%%|(?<![\w%])%[A-Z_]{3,40}%(?!\w)",
+    "printf": r"(?<![\w%])%(?:\d+\$)?[sdif](?![\w%])",
     "underscore": r"(?<!\w)__[A-Za-z][A-Za-z_]{1,40}__(?!\w)",
     "dollar": r"(?<![\w$])\$[A-Za-z_]{3,40}\$(?!\w)",
     "brace": rf"(?<![{{$#])\{{\s*(?:{_NAME}|\d{{1,2}})\s*\}}(?!\}})",
