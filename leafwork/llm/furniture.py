@@ -32,7 +32,7 @@ def headline(line: str) -> bool:
 def looks_like_furniture(line: str) -> bool:
     """A short line that is a page number, ends or begins with one, or is a headline without a sentence's end."""
     s = line.strip()
-    if not s or len(s) > 80:
+    if not s or len(s) > 80 or s.count("|") > 1:  # a row of a table
         return False
     if PAGE_NUMBER.match(s) or NUMBERED.search(s):
         return True

@@ -370,7 +370,7 @@ def page_lines(texts: DataFrame, keys: list[str], model: dict) -> DataFrame:
 
 def may_be_furniture(s: str) -> bool:
     """A gate before the trees: anything that isn't plainly prose, a list or a table."""
-    return len(s) <= 80 and bool(PAGE_NUMBER.match(s) or NUMBERED.search(s) or (not SENTENCE_END.search(s) and " | " not in s and headline(s)))
+    return len(s) <= 80 and s.count("|") < 2 and bool(PAGE_NUMBER.match(s) or NUMBERED.search(s) or (not SENTENCE_END.search(s) and " | " not in s and headline(s)))
 
 
 def judge(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
