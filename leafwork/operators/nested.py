@@ -131,7 +131,7 @@ def shred_object(top: _Object) -> list[tuple]:
         obj, path, _, _, _, depth = nodes[at]
         found = []
         for key, value in obj.pairs:
-            walk = [(value, f"{path}/{_clean(key)}" if path else _clean(key), None)]
+            walk = [(value, f"{path}/{_clean(key)}" if at else _clean(key), None)]
             while walk:
                 v, p, ordinal = walk.pop()
                 if isinstance(v, _Object):
