@@ -30,18 +30,18 @@ PLACEHOLDERS = {
     "at": r"@@[A-Za-z_.]{2,40}@@",
     "percent": r"%%[A-Za-z_.]{2,40}%%|(?<![\w%])%[A-Z_]{3,40}%(?!\w)",
     "printf": r"(?<![\w%])%(?:\d+\$)?[sdif](?![\w%])",
-    "underscore": r"(?<!\w)__[A-Za-z][A-Za-z_]{1,40}__(?!\w)",
+    "underscore": r"(?<!\w)__[A-Za-z][A-Za-z_.]{1,40}__(?!\w)",
     "dollar": r"(?<![\w$])\$[A-Za-z_]{3,40}\$(?!\w)",
     "brace": rf"(?<![{{$#])\{{\s*(?:{_NAME}|\d{{1,2}})\s*\}}(?!\}})",
-    "angle": r"(?<![<\w])<(?!/?(?:html|head|title|body|hr|br|p|b|i|em|sub|sup|h\d|div|span)\b)[A-Za-z][A-Za-z_.]{2,40}>(?!>)",
+    "angle": r"(?<![<\w])<(?!/?(?:html|head|title|body|hr|br|p|b|i|em|sub|sup|h\d|div|span)\b)[A-Za-z][A-Za-z_.]{2,40}>(?!>)|(?i)<\s*(?:describe|insert|add|enter|your|write|put|type)\b[^<>\n]{0,80}>",
     "bracket_order": r"(?i)\[\s*(?:insert|add|enter|your|describe|image|caption|title|todo|tbd|placeholder|bild|texte?|texto|ins[eé]rer|insertar|hier|ici|aqu[ií])\b[^\]\n]{0,60}\]|\((?:your|insert|add|enter)\s[^()\n]{1,40}here\)",
     "blank": r"(?<!\w)_{3,}(?!\w)",
     "letters": r"(?<![\w.])(?:XXX+|YYY+|ZZZ+|NNN+|(?:XX|NN|YY)(?=\s+(?:percent|per cent|%|Prozent|pour cent|por ciento)))(?![\w])",
     "unresolved": r"\[object Object\]|^\s*undefined\b.{0,80}\b(?:null|NaN|undefined)\b|(?im:^\s*(?:title|description|caption|alt)\s*:\s*(?:undefined|null|NaN|None)\s*$)",
-    "order": r"(?im)^\s*(?:TBD|TODO|FIXME)\b.{0,40}$|^\s*(?:Click|Tap) to add (?:text|title|subtitle|notes|a picture|picture)\b|^\s*Enter (?:a|the|your) (?:short |brief )?(?:summary|description|caption|title|text)\b|^\s*(?:Description|Text|Caption|Title|Summary) goes here\b",
+    "order": r"(?im)^\s*(?:TBD|TODO|FIXME)\b.{0,40}$|^\s*(?:Click|Tap) to add (?:text|title|subtitle|notes|a picture|picture)\b|^\s*Enter (?:a|the|your) (?:short |brief )?(?:summary|description|caption|title|text)\b|^\s*(?:Add|Insert|Write|Type|Put|Enter|Describe)\b[^.!?\n]{0,40}\bhere\b|^\s*(?:Description|Text|Caption|Title|Summary) goes here\b",
 }
 #: What any of the grammars needs; cheaper than all of them at every character.
-_GATE = r"[{<\[@$#_]|%[%\dA-Za-z]|\((?i:your|insert|add|enter)\s|XX|YY|ZZ|NN|undefined|null|NaN|None|(?i:goes here)|(?im:^\s*(?:TBD|TODO|FIXME|Click|Tap|Enter)\b)"
+_GATE = r"[{<\[@$#_]|%[%\dA-Za-z]|\((?i:your|insert|add|enter)\s|XX|YY|ZZ|NN|undefined|null|NaN|None|(?i:\bhere\b)|(?im:^\s*(?:TBD|TODO|FIXME|Click|Tap|Enter)\b)"
 #: Markers of filler text.
 FILLER_MARK = r"(?i)(?:^|[.!?\n]\s*|^\W*)(?:lorem ipsum\b|dummy text\b|placeholder text\b|platzhaltertext\b|blindtext\b|texto de (?:ejemplo|relleno|prueba)\b|texte (?:à compléter|de remplissage|d'exemple|factice)|sample text\b|this is (?:a )?(?:sample|placeholder|dummy)\b)"
 #: A text that is one short word over and over; the last one may be cut.
@@ -88,7 +88,7 @@ _TUTORIAL_WORDS = r"(?i)\b(?:code editor|template (?:line|syntax|language)|place
 TUTORIAL = r"(?i)(?<![^.!?\n])[^.!?\n]*?" + _TUTORIAL_WORDS[4:] + r"[^.!?\n]*+[.!?]?"
 DEFAULT_TEXT = "(no description)"
 #: A word is filler if this share of its occurrences lies in marked sentences; a sentence, if this share of its words is.
-FILLER_WORD_SHARE, FILLER_SENTENCE_SHARE, FILLER_SENTENCE_WORDS = 0.3, 0.85, 5
+FILLER_WORD_SHARE, FILLER_SENTENCE_SHARE, FILLER_SENTENCE_WORDS = 0.3, 0.7, 5
 
 
 def has_content(text: Column) -> Column:

@@ -46,6 +46,8 @@ _HYPHENS = "-‐¬­‑"
 _BREAK = re.compile(r"([^\W\d_]+|[^\W_]*[^\W\d_])([-‐¬­‑])[ \t]*$")
 #: The same for whole texts and for both engines: a word divided at a break of line, put together.
 DIVIDED = r"(\p{L}+)[-‐¬\u00AD‑][ \t]*\n[ \t]*(\p{L}+)"
+#: A last word without a mark after it may be cut; a piece of a word is like too many words.
+CUT_OFF = r"[\p{L}\p{N}]++\s*+(?:\[?(?:\.{3}|…|\x{FFFD})\]?)?\s*+(?:\(more\))?\s*+$"
 _DIVIDED = re.compile(r"([^\W\d_]+)[-‐¬­‑][ \t]*\n[ \t]*([^\W\d_]+)")
 _NEXT = re.compile(r"^[ \t]*([^\W_]+)")
 _COMPOUND = re.compile(r"(?<![^\W_])([^\W\d_]{2,})-([^\W\d_]{2,})(?![^\W_])")
@@ -381,7 +383,7 @@ def judge(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame, DataFra
     sample = frequent_sample(words)
     compounds = [(r[0], r[1]) for r in counts.where("kind = 'c'").select("word", "n").orderBy(F.desc("n"), "word").limit(SAMPLE_WORDS // 10).collect()]
     fixed = broadcast_if_small(corrections(words, sample), "corrections")
-    token = F.explode(F.array_distinct(F.split(F.regexp_replace("text", DIVIDED, "$1$2"), r"[^\p{L}\p{N}]+"))).alias("token")
+    token = F.explode(F.array_distinct(F.split(F.regexp_replace(F.regexp_replace("text", CUT_OFF, ""), DIVIDED, "$1$2"), r"[^\p{L}\p{N}]+"))).alias("token")
     tokens = texts.select(*keys, token).where(F.length("token").between(MIN_WORD, MAX_WORD)).withColumn("seen", F.lower("token"))
     tokens = tokens.where((F.length("token") > MIN_WORD) | ~F.col("token").rlike(r"^\p{Lu}"))  # a short name is like too many words
     misread = tokens.join(fixed, "seen").select(*keys, F.col("token").alias("seen"), "true", F.col("token").rlike(r"^[\p{Ll}\d]").alias("small")).distinct()

@@ -3,7 +3,7 @@ import pytest
 from leafwork.llm import residue
 
 CASES = [
-    "{{ title }}", "Dear {{name}}, please find it below.", "${image.description}", "#{figure.title} - cost", "<%= caption %>", "[[metric]]", "A photo. <<legend text>>", "@@TITLE@@ of the pump",
+    "__IMAGE.DESCRIPTION__", "<describe the image in one or two sentences> 27", "Add alt text here 5", "{{ title }}", "Dear {{name}}, please find it below.", "${image.description}", "#{figure.title} - cost", "<%= caption %>", "[[metric]]", "A photo. <<legend text>>", "@@TITLE@@ of the pump",
     "%%TITLE%%", "__CAPTION__", "$caption$ (2014)", "Figure {chart_type}: cost, {year}", "<Name> stands beside the <object>.", "[Insert description here]", "(your caption here)", "A box. [ADD UNIT]",
     "The ___ in X rose by ___ percent.", "Bar chart of XXX by YYY in 2013.", "The depot of NNN repairs is shown in XX percent.", "Title: [object Object]\nDescription: undefined", "undefined cost in null, NaN",
     "TBD - caption", "TODO: describe figure\nClick to add title", "{% block legend %}{% endblock %}", "{0} compared with {1} for 8 tickets", "%s by %s in Konil, %d", "[Bild hier beschreiben]",
