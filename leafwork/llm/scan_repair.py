@@ -38,34 +38,33 @@ CONFUSIONS = (
 _SEEN = {}
 for _true, _seen in CONFUSIONS:  # noqa: B007
     _SEEN.setdefault(_seen, []).append(_true)
+_DIGIT = re.compile(r"\d")
+#: A small-letter word of four letters or more: never in a headline.
+_SMALL_WORD = re.compile(r"(?:^|[\s\"'(])[a-zß-öø-ÿ][^\W\d_]{3}")
 _CHUNK = re.compile(r"\S+")
 _TOKEN = re.compile(r"[^\W_]+")
 _BLOB = re.compile(r"[/+=@\\<>{}]|^\S{31,}$")
+_NO_PROSE = re.compile(r"[/+=@\\<>{}]|\S{31}|[぀-ヿ㐀-鿿가-힯]")
 _WIDE = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
 _HYPHENS = "-‐¬­‑"
 _BREAK = re.compile(r"([^\W\d_]+|[^\W_]*[^\W\d_])([-‐¬­‑])[ \t]*$")
 #: The same for whole texts and for both engines: a word divided at a break of line, put together.
-DIVIDED = r"(\p{L}+)[-‐¬\u00AD‑][ \t]*\n[ \t]*(\p{L}+)"
+DIVIDED = r"(?<!\p{L})(\p{L}++)[-‐¬\u00AD‑][ \t]*\n[ \t]*(\p{L}+)"
 #: A last word without a mark after it may be cut; a piece of a word is like too many words.
-CUT_OFF = r"[\p{L}\p{N}]++\s*+(?:\[?(?:\.{3}|…|\x{FFFD})\]?)?\s*+(?:\(more\))?\s*+$"
-_DIVIDED = re.compile(r"([^\W\d_]+)[-‐¬­‑][ \t]*\n[ \t]*([^\W\d_]+)")
+CUT_OFF = r"(?<![\p{L}\p{N}])[\p{L}\p{N}]++\s*+(?:\[?(?:\.{3}|…|\x{FFFD})\]?)?\s*+(?:\(more\))?\s*+$"
+_DIVIDED = re.compile(r"(?<![^\W\d_])([^\W\d_]++)[-‐¬­‑][ \t]*\n[ \t]*([^\W\d_]+)")
 _NEXT = re.compile(r"^[ \t]*([^\W_]+)")
 _COMPOUND = re.compile(r"(?<![^\W_])([^\W\d_]{2,})-([^\W\d_]{2,})(?![^\W_])")
 _SPACED = re.compile(r"(?<![^\s(\"'])([^\W\d_](?: [^\W\d_]){2,})(?![^\W_])")
 
 
-def words_of(text: str) -> list[str]:
-    """The tokens that may be words, as written: no blobs, no codes of letters and digits, no scripts without spaces."""
-    out = []
+def tokens_of(text: str) -> list[str]:
+    """The tokens of a text, as written, without blobs and scripts without spaces."""
     if "\n" in text:
         text = _DIVIDED.sub(r"\1\2", text)
-    for chunk in _CHUNK.findall(text):
-        if _BLOB.search(chunk) or _WIDE.search(chunk):
-            continue
-        for w in _TOKEN.findall(chunk):
-            if MIN_WORD <= len(w) <= MAX_WORD and plausible(w):
-                out.append(w)
-    return out
+    if not _NO_PROSE.search(text):
+        return _TOKEN.findall(text)
+    return [w for chunk in _CHUNK.findall(text) if not (_BLOB.search(chunk) or _WIDE.search(chunk)) for w in _TOKEN.findall(chunk)]
 
 
 def plausible(w: str) -> bool:
@@ -84,11 +83,15 @@ def vocabulary(texts: DataFrame) -> DataFrame:
         import pandas as pd
 
         for batch in batches:
+            raw: Counter = Counter()
             seen: Counter = Counter()
             for text in batch.iloc[:, 0]:
-                seen.update(("w", w.lower()) for w in words_of(text))
+                raw.update(tokens_of(text))
                 if "-" in text:
                     seen.update(("c", f"{a.lower()}-{b.lower()}") for a, b in _COMPOUND.findall(text))
+            for w, n in raw.items():  # each distinct token of a batch is judged once
+                if MIN_WORD <= len(w) <= MAX_WORD and plausible(w):
+                    seen["w", w.lower()] += n
             yield pd.DataFrame([(k, w, n) for (k, w), n in seen.items()], columns=["kind", "word", "n"])
 
     return texts.select("text").mapInPandas(run, "kind string, word string, n bigint").groupBy("kind", "word").agg(F.sum("n").alias("n"))
@@ -358,6 +361,8 @@ def page_lines(texts: DataFrame, keys: list[str], model: dict) -> DataFrame:
                 at += len(asked)
                 breaks, kept = [], [k for k, s in enumerate(lines) if s.strip() and k not in gone]
                 for a, b in zip(kept, kept[1:]):
+                    if lines[a].rstrip()[-1:] not in _HYPHENS:
+                        continue
                     m, n = _BREAK.search(lines[a]), _NEXT.match(lines[b])
                     if m and n:
                         breaks.append({"line": a, "left": m[1], "mark": m[2], "right": n[1]})
@@ -372,7 +377,14 @@ def page_lines(texts: DataFrame, keys: list[str], model: dict) -> DataFrame:
 
 def may_be_furniture(s: str) -> bool:
     """A gate before the trees: anything that isn't plainly prose, a list or a table."""
-    return len(s) <= 80 and s.count("|") < 2 and bool(PAGE_NUMBER.match(s) or NUMBERED.search(s) or (not SENTENCE_END.search(s) and " | " not in s and headline(s)))
+    if len(s) > 80 or s.count("|") > 1:
+        return False
+    if _DIGIT.search(s):
+        if PAGE_NUMBER.match(s) or NUMBERED.search(s):
+            return True
+    elif len(s) <= 12 and PAGE_NUMBER.match(s):
+        return True
+    return not _SMALL_WORD.search(s) and " | " not in s and not SENTENCE_END.search(s) and headline(s)
 
 
 def judge(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -383,7 +395,8 @@ def judge(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame, DataFra
     sample = frequent_sample(words)
     compounds = [(r[0], r[1]) for r in counts.where("kind = 'c'").select("word", "n").orderBy(F.desc("n"), "word").limit(SAMPLE_WORDS // 10).collect()]
     fixed = broadcast_if_small(corrections(words, sample), "corrections")
-    token = F.explode(F.array_distinct(F.split(F.regexp_replace(F.regexp_replace("text", CUT_OFF, ""), DIVIDED, "$1$2"), r"[^\p{L}\p{N}]+"))).alias("token")
+    whole = F.regexp_replace("text", CUT_OFF, "")
+    token = F.explode(F.array_distinct(F.split(F.when(F.col("text").contains("\n"), F.regexp_replace(whole, DIVIDED, "$1$2")).otherwise(whole), r"[^\p{L}\p{N}]+"))).alias("token")
     tokens = texts.select(*keys, token).where(F.length("token").between(MIN_WORD, MAX_WORD)).withColumn("seen", F.lower("token"))
     tokens = tokens.where((F.length("token") > MIN_WORD) | ~F.col("token").rlike(r"^\p{Lu}"))  # a short name is like too many words
     misread = tokens.join(fixed, "seen").select(*keys, F.col("token").alias("seen"), "true", F.col("token").rlike(r"^[\p{Ll}\d]").alias("small")).distinct()
