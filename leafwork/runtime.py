@@ -19,7 +19,7 @@ def shared_dir(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found
-    if not spark.sparkContext.master.startswith("local["):
+    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     found = "file://" + tempfile.mkdtemp(prefix="leafwork-")
     spark.conf.set("spark.checkpoint.dir", found)
