@@ -18,6 +18,9 @@ PAGE_NUMBER = re.compile(
 #: A number of a page at either end of a line: "Chapter 13   Foreign Bakery   293", "147 | Suburban Filter", "DRAFT NOTES   Seite 175".
 NUMBERED = re.compile(r"(?:\s{2,}|\s[|·•]\s|\t)\W*(?:(?:p{1,2}\.|page|seite|s\.|página|pág\.)\s*)?\d{1,4}(?:\s*(?:/|of|von|de|sur)\s*\d{1,4})?[^\w.!?,;:%]*$|^\W*\d{1,4}\W*(?:\s[|·•]\s|\s{2,})|\bVol\.\s*\d+\W*$|[\[(]\d{1,4}[\])]\s*$", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
+_DIGIT = re.compile(r"\d")
+#: A small-letter word of four letters or more: hardly ever in a headline.
+_SMALL_WORD = re.compile(r"(?:^|[\s\"'(])[a-zß-öø-ÿ][^\W\d_]{3}")
 _SMALL = frozenset("of and the for in on to a an de la le les des du et der die das und von für y el los las en del al zu zum zur im".split())
 SENTENCE_END = re.compile(r"[.!?。！？][\"'”’»)\]]*\s*$")
 
@@ -34,9 +37,12 @@ def looks_like_furniture(line: str) -> bool:
     s = line.strip()
     if not s or len(s) > 80 or s.count("|") > 1:  # a row of a table
         return False
-    if PAGE_NUMBER.match(s) or NUMBERED.search(s):
+    if _DIGIT.search(s):
+        if PAGE_NUMBER.match(s) or NUMBERED.search(s):
+            return True
+    elif len(s) <= 12 and PAGE_NUMBER.match(s):
         return True
-    return headline(s) and not SENTENCE_END.search(s) and " | " not in s and len(s) <= 60
+    return not _SMALL_WORD.search(s) and headline(s) and not SENTENCE_END.search(s) and " | " not in s and len(s) <= 60
 
 
 def strip_trailing(text: str) -> str:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafwork.llm import boosting
-from leafwork.llm.furniture import NUMBERED, PAGE_NUMBER, SENTENCE_END, headline
+from leafwork.llm.furniture import NUMBERED, PAGE_NUMBER, SENTENCE_END, headline, looks_like_furniture
 from leafwork.runtime import broadcast_if_small, materialize
 
 #: Words the ranker is trained on; how much rarer than its replacement a misread word is; accepted probabilities.
@@ -38,9 +38,6 @@ CONFUSIONS = (
 _SEEN = {}
 for _true, _seen in CONFUSIONS:  # noqa: B007
     _SEEN.setdefault(_seen, []).append(_true)
-_DIGIT = re.compile(r"\d")
-#: A small-letter word of four letters or more: never in a headline.
-_SMALL_WORD = re.compile(r"(?:^|[\s\"'(])[a-zß-öø-ÿ][^\W\d_]{3}")
 _CHUNK = re.compile(r"\S+")
 _TOKEN = re.compile(r"[^\W_]+")
 _BLOB = re.compile(r"[/+=@\\<>{}]|^\S{31,}$")
@@ -211,13 +208,14 @@ def corrections(words: DataFrame, sample: list[tuple[str, int]]) -> DataFrame:
     top = words.agg(F.max("n")).first()[0] or 0
     size = F.length("word")
 
-    def grams(df: DataFrame, *extra) -> DataFrame:
+    def grams(df: DataFrame) -> DataFrame:
         padded = F.concat(F.lit("^"), "word", F.lit("$"))
         return df.select("word", "n", F.posexplode(F.transform(F.sequence(F.lit(1), size + 3 - QGRAM), lambda k: F.substring(padded, k, QGRAM))).alias("at", "gram"))
 
     left = grams(words.where(F.col("n") * RARER <= top)).select(F.col("word").alias("seen"), F.col("n").alias("n_seen"), "gram", "at")
     right = grams(common).select(F.col("word").alias("true"), F.col("n").alias("n_true"), "gram", F.explode(F.array(F.col("at") - 1, F.col("at"), F.col("at") + 1)).alias("at"))
-    near = left.join(right, ["gram", "at"]).where((F.col("n_true") >= RARER * F.col("n_seen")) & (F.abs(F.length("seen") - F.length("true")) <= 2))
+    # the q-grams are many times the words they come from, so their size on disk must not choose a broadcast
+    near = left.join(right.hint("merge"), ["gram", "at"]).where((F.col("n_true") >= RARER * F.col("n_seen")) & (F.abs(F.length("seen") - F.length("true")) <= 2))
     pairs = near.groupBy("seen", "true").agg(F.count(F.lit(1)).alias("shared"), F.max("n_seen").alias("n_seen"), F.max("n_true").alias("n_true"))
     pairs = pairs.where(F.col("shared") >= SHARED * (F.length("seen") + 1))
 
@@ -351,7 +349,7 @@ def page_lines(texts: DataFrame, keys: list[str], model: dict) -> DataFrame:
             for *key, text in batch.itertuples(index=False, name=None):
                 lines = text.split("\n")
                 usual = _usual(lines)
-                asked = [k for k, s in enumerate(lines) if s.strip() and may_be_furniture(s.strip())]
+                asked = [k for k, s in enumerate(lines) if s.strip() and looks_like_furniture(s)]
                 x.extend(line_features(lines, k, usual) for k in asked)
                 pages.append((key, text, lines, asked))
             p = boosting.predict(model, x).tolist() if x else []
@@ -375,18 +373,6 @@ def page_lines(texts: DataFrame, keys: list[str], model: dict) -> DataFrame:
     return texts.where(F.col("text").contains("\n")).select(*keys, "text").mapInPandas(run, schema)
 
 
-def may_be_furniture(s: str) -> bool:
-    """A gate before the trees: anything that isn't plainly prose, a list or a table."""
-    if len(s) > 80 or s.count("|") > 1:
-        return False
-    if _DIGIT.search(s):
-        if PAGE_NUMBER.match(s) or NUMBERED.search(s):
-            return True
-    elif len(s) <= 12 and PAGE_NUMBER.match(s):
-        return True
-    return not _SMALL_WORD.search(s) and " | " not in s and not SENTENCE_END.search(s) and headline(s)
-
-
 def judge(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """For ``keys`` and ``text``: misread words (keys, seen, true, small), lines (of ``page_lines``) and joins (keys, line, join)."""
     texts = df.select(*keys, "text").where(F.length("text") > 0)
