@@ -17,6 +17,21 @@ PAGE_NUMBER = re.compile(
 )
 #: A number of a page at either end of a line: "Chapter 13   Foreign Bakery   293", "147 | Suburban Filter", "DRAFT NOTES   Seite 175".
 NUMBERED = re.compile(r"(?:\s{2,}|\s[|·•]\s|\t)\W*(?:(?:p{1,2}\.|page|seite|s\.|página|pág\.)\s*)?\d{1,4}(?:\s*(?:/|of|von|de|sur)\s*\d{1,4})?[^\w.!?,;:%]*$|^\W*\d{1,4}\W*(?:\s[|·•]\s|\s{2,})|\bVol\.\s*\d+\W*$|[\[(]\d{1,4}[\])]\s*$", re.I)
+#: A roman number below 400, as front matter has it; a lone letter only if it is a small i, v or x.
+ROMAN = r"(?:(?=[ivxlc]{2}|(?-i:[ivx])(?![^\W_]))c{0,3}(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})(?![^\W_]))"
+_ROMAN_OF = rf"{ROMAN}(?:\s*(?:/|of|von|de|sur)\s*(?:\d{{1,4}}|{ROMAN}))?[^\w.!?,;:%]*$"
+#: The same forms with a roman number: p. xii, Page iii of xii, cxii, "Foreign Bakery   xii", "xii | Suburban Filter".
+#: Apart from the others, which are features of the trees of lines.
+ROMAN_NUMBERED = re.compile(
+    rf"^\W*(?:(?:(?:page|seite|página|pagina|folio|blatt)\s|p{{1,2}}\.|s\.|pág\.)\s*)?{_ROMAN_OF}"
+    rf"|(?:\s{{2,}}|\s[|·•]\s|\t)\W*(?:(?:(?:page|seite|página)\s|p{{1,2}}\.|s\.|pág\.)\s*)?{_ROMAN_OF}"
+    rf"|^\W*{ROMAN}\W*(?:\s[|·•]\s|\s{{2,}})|\bVol\.\s*{ROMAN}\W*$|(?<!\w)[\[(]{ROMAN}[\])]\s*$",
+    re.I,
+)
+#: A small roman number at an end of a line: no word of a headline.
+_EDGE_ROMAN = re.compile(rf"^\W*{ROMAN}\W+|(?<![^\W_]){ROMAN}\W*$")
+#: Nearly all lines have no roman number at an end and are told by this.
+_MAYBE_ROMAN = re.compile(r"^\W*[ivxlc]+(?![^\W_])|(?<![^\W_])[ivxlc]+\W*$", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 _DIGIT = re.compile(r"\d")
 #: A small-letter word of four letters or more: hardly ever in a headline.
@@ -42,6 +57,11 @@ def looks_like_furniture(line: str) -> bool:
             return True
     elif len(s) <= 12 and PAGE_NUMBER.match(s):
         return True
+    if _MAYBE_ROMAN.search(s):
+        if ROMAN_NUMBERED.search(s):
+            return True
+        if not SENTENCE_END.search(s):
+            s = _EDGE_ROMAN.sub("", s)
     return not _SMALL_WORD.search(s) and headline(s) and not SENTENCE_END.search(s) and " | " not in s and len(s) <= 60
 
 

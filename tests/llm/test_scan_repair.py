@@ -125,3 +125,16 @@ def test_held_out_words():
             x.append(S.rank_features(seen, rng.choice(sample[500:])[0], 1, n))
             y.append(0)
     assert ((boosting.predict(model, x) > 0.5) == y).mean() > 0.95
+
+
+def test_headers_with_roman_numbers(spark, pages):
+    """Headers that end or begin with a roman number are judged as those with digits are."""
+    heads = ("DRAFT CATALOGUE NOTES viii", "DRAFT MILL NOTES   xi", "DRAFT LEDGER NOTES iv", "Foreign Bakery   xvii", "Seite xii", "147 | Suburban Filter")
+    for s in (*heads, "p. xii", "Page iii of xii", "xii | Suburban Filter", "cxlviii", "Late Mill xcv", "DRAFT NOTES   Seite xvii", "Tram Office · Konil · Vol. XII"):
+        assert S.looks_like_furniture(s), s
+    for s in ("- x axis: season", "handled 2262 vi-", "The kiln handled 2019 i", "I  said so", "X | Y", "Demand = f(x)", "the civil mill", "a line of plain words xi", "noted xi."):
+        assert not S.looks_like_furniture(s), s
+    texts = [wrap(p.replace("\n", " ")) for p in pages[0][: len(heads)]]
+    df = spark.createDataFrame([(k, "\n".join([*t[:2], h, *t[2:]])) for k, (t, h) in enumerate(zip(texts, heads, strict=True))], "k int, text string")
+    got = {r.k: list(r.furniture) for r in S.page_lines(df, ["k"], S.train_furniture(WORDS)).collect()}
+    assert got == {k: [2] for k in range(len(heads))}
