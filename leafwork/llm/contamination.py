@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -101,8 +102,37 @@ def align(passage: list[str], words: list[str]) -> tuple[int, int, int] | None:
     return None
 
 
-def _verify(passages: dict, items: list, words: list[str], hits: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
-    """(item, matched, first, last) of each item that is really there.  hits: (position, gram number)."""
+def _runs(passage: list[str], words: list[str], low: int, high: int, places: list[int]) -> Iterator[tuple[int, int]]:
+    """(first word, last word) of every verified run of the passage in ``words[low:high]``; places: where n-grams of it begin, sorted.
+
+    The words left and right of a run are aligned again.  Only a few times the passage's length is aligned at once, so
+    many copies in a row cost in proportion to their number.
+    """
+    enough, window, open_ = min(MIN_WORDS, len(passage)), 4 * len(passage) + 80, [(low, high)]
+    while open_:
+        low, high = open_.pop()
+        if high - low < enough or bisect_right(places, high - NGRAM) - bisect_left(places, low) + NGRAM - 1 < MIN_WORDS // 3:
+            continue
+        end = min(high, low + window)
+        got = align(passage, words[low:end])
+        if not got:
+            if end < high:
+                open_.append((end - 2 * len(passage), high))
+            continue
+        first, last = got[1] + low, got[2] + low
+        if end < high and last + len(passage) >= end and first > low:  # it may go on beyond the window
+            open_ += [(low, first), (first, high)]
+            continue
+        if got[0] >= enough:
+            yield first, last
+        open_ += [(low, first), (last + 1, high)]
+
+
+def _verify(passages: dict, items: list, words: list[str], hits: list[tuple[int, int]], spans: bool = False) -> list[tuple[int, int, int, int, list]]:
+    """(item, matched, first, last, spans) of each item that is really there.  hits: (position, gram number).
+
+    The first numbers are those of the best run; ``spans`` are all verified ones, if they are asked for.
+    """
     near: dict[int, list[int]] = defaultdict(list)
     for at, g in hits:
         for i in items[g]:
@@ -110,7 +140,7 @@ def _verify(passages: dict, items: list, words: list[str], hits: list[tuple[int,
     found = []
     for i, places in near.items():
         passage = passages[i]
-        reach, best = len(passage), None
+        reach, best, groups = len(passage), None, []
         group = [places[0]]
         for at in [*places[1:], None]:
             if at is not None and at - group[-1] <= reach:
@@ -121,9 +151,10 @@ def _verify(passages: dict, items: list, words: list[str], hits: list[tuple[int,
                 got = align(passage, words[low : group[-1] + NGRAM + 40])
                 if got and (best is None or got[0] > best[0]):
                     best = (got[0], got[1] + low, got[2] + low)
+                groups.append((low, min(len(words), group[-1] + NGRAM + 40)))
             group = [at]
         if best and best[0] >= min(MIN_WORDS, len(passage)):
-            found.append((i, *best))
+            found.append((i, *best, sorted({run for low, high in groups for run in _runs(passage, words, low, high, places)}) if spans else []))
     return found
 
 
@@ -142,12 +173,13 @@ def _blocks(items: DataFrame, item_id: str, text: str) -> list[list[tuple[int, s
 def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", *, spans: bool = False) -> DataFrame:
     """``doc_id, item_id, matched_words, passage_words``, one row for each leaked pair.
 
-    With ``spans`` also ``first_word`` and ``last_word``, the place in the document's normalised words.
+    With ``spans`` also ``first_word`` and ``last_word``, the place of the best run in the document's normalised words,
+    and ``spans``, the places of all verified runs: a passage may stand in a document more than once.
     Beyond BLOCK_WORDS the items are taken in blocks, each of which passes over the documents once.
     """
     d, i = documents.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
-    schema = f"doc_id {d}, item_id {i}, matched_words bigint, passage_words bigint, first_word bigint, last_word bigint"
-    names = [c.split()[0] for c in schema.split(", ")]
+    schema = f"doc_id {d}, item_id {i}, matched_words bigint, passage_words bigint, first_word bigint, last_word bigint, spans array<struct<first_word:bigint,last_word:bigint>>"
+    names = ["doc_id", "item_id", "matched_words", "passage_words", "first_word", "last_word", "spans"]
     docs = documents.select(doc_id, doc_text).where(F.length(doc_text) > 0)
     found = None
     for block in _blocks(items, item_id, item_text):
@@ -178,8 +210,8 @@ def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", d
                 for doc in np.unique(owner).tolist():
                     mine = owner == doc
                     hits = list(zip((at[mine] - starts[doc]).tolist(), place[mine].tolist(), strict=True))
-                    for item, matched, first, last in _verify(passages, owners, all_words[doc], hits):
-                        out.append((keys[doc], item, matched, len(passages[item]), first, last))
+                    for item, matched, first, last, runs in _verify(passages, owners, all_words[doc], hits, spans):
+                        out.append((keys[doc], item, matched, len(passages[item]), first, last, [{"first_word": a, "last_word": b} for a, b in runs]))
                 if out:
                     yield pd.DataFrame(out, columns=names)
 
@@ -187,7 +219,7 @@ def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", d
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = documents.sparkSession.createDataFrame([], schema)
-    return found if spans else found.drop("first_word", "last_word")
+    return found if spans else found.drop("first_word", "last_word", "spans")
 
 
 def leaked_items(leaks: DataFrame, items: DataFrame, item_id: str = "item_id") -> DataFrame:
@@ -203,7 +235,7 @@ def without_leaks(documents: DataFrame, leaks: DataFrame, doc_id: str = "doc_id"
     Documents without leaks aren't returned; they stay as they are.
     """
     d = documents.schema[doc_id].dataType.simpleString()
-    spans = leaks.groupBy(F.col("doc_id").alias(doc_id)).agg(F.collect_set(F.array("first_word", "last_word")).alias("_spans"))
+    spans = leaks.select(F.col("doc_id").alias(doc_id), F.explode("spans").alias("_span")).groupBy(doc_id).agg(F.collect_set(F.array("_span.first_word", "_span.last_word")).alias("_spans"))
     some = documents.select(doc_id, doc_text).join(spans, doc_id)
 
     def run(batches: Iterator) -> Iterator:

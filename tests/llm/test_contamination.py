@@ -84,3 +84,37 @@ def test_places_follow_words(text):
 
 def test_merged():
     assert C.merged([(5, 9), (1, 3), (4, 4), (20, 21)]) == [(1, 9), (20, 21)]
+
+
+def test_every_copy_of_a_passage_is_removed(spark):
+    rng = random.Random(5)
+    other = [" ".join(f"x{n}y{k}" for k in range(150)) for n in range(4)]
+    items = [(k, passage(rng)) for k in range(2)]
+    p = items[0][1].rstrip(".")
+    words = p.split()
+    replaced = " ".join("xxx" if k % 9 == 4 and k < 50 else w for k, w in enumerate(words))
+    docs = [
+        (1, f"{other[0]} {p} {other[1]} {p} {other[2]}"),  # two files of a commit
+        (2, f"{other[0]} {p} {p} {other[1]} {other[2]}"),
+        (3, f"{other[0]} {' '.join(words[:25])} {other[1]} {' '.join(words[30:])} {other[2]}"),  # two pieces
+        (4, f"{other[0]} {p} {other[1]} {replaced} {other[2]} {p} {other[3]}"),
+        (5, f"{p} {p} {p} {other[0]}"),
+        (6, f"{other[0]} {items[1][1]} {other[1]} {p}"),
+    ]
+    d, i = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    leaks = C.find_leaks(d, i, spans=True)
+    assert leaks.count() == C.find_leaks(d, i).count() == 7
+    assert {r.item_id: r.n_docs for r in C.leaked_items(leaks, i).collect()} == {0: 6, 1: 1}
+    got = {r.doc_id: (r.text, r.removed_spans) for r in C.without_leaks(d, leaks).collect()}
+    left = {k: None if t is None else [w for w in C.normal_words(t) if not w.startswith("x")] for k, (t, _) in got.items()}
+    assert left == {1: [], 2: [], 3: [], 4: [], 5: None, 6: []}
+    assert {k: n for k, (_, n) in got.items()} == {1: 2, 2: 2, 3: 2, 4: 3, 5: 3, 6: 2}
+
+
+def test_many_copies_in_a_row():
+    rng = random.Random(6)
+    words = C.normal_words(passage(rng))
+    text = ["x"] * 7 + (words + ["x"]) * 400 + ["x"] * 500 + words[:25]
+    places = [at for at in range(len(text)) if "x" not in text[at : at + C.NGRAM]]
+    want = [(7 + 61 * k, 66 + 61 * k) for k in range(400)] + [(len(text) - 25, len(text) - 1)]
+    assert sorted(C._runs(words, text, 0, len(text), places)) == want
