@@ -7,8 +7,9 @@ sentence or code has hold most of its characters.
 
 A line with function words in a sentence's share is a sentence; one with brackets, assignments, quotes or underscores
 is code.  What is left with several words, a list of separators, a price tag, or a link with few words beside it is
-stuffing.  Change logs and references have sentences beside their links, dependency lists, constants, translations
-and manifests have code marks, so they fall out.
+stuffing.  The largest MOST_SHAPES stuffing shapes decide; how many there are besides doesn't count, as it grows with
+the length of a page.  Change logs and references have sentences beside their links, dependency lists, constants,
+translations and manifests have code marks, so they fall out.
 
 Defined results: null, empty and blank texts are never stuffed.  Each document is judged by itself, whole;
 repeated documents each count.
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A part is stuffed from this share of its characters in stuffing shapes, if these have so many words or links.
+#: A part is stuffed from this share of its characters in its MOST_SHAPES largest stuffing shapes, if it has so many words or links in any.
 STUFFED_SHARE, LEAST_WORDS, LEAST_LINKS, MOST_SHAPES = 0.5, 12, 4, 12
 #: Function words of the corpus languages; a sentence has some.
 FUNCTION_WORDS = (
@@ -104,8 +105,11 @@ def stuffed_parts(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
         F.sum(F.when(is_stuff, F.col("words")).otherwise(0)).alias("words"),
         F.sum(F.when(is_stuff, F.col("links")).otherwise(0)).alias("links"),
         F.count(F.when(is_stuff, F.col("shape"))).alias("shapes"),
-    )
-    return by.where((F.col("share") >= STUFFED_SHARE) & (F.col("shapes") <= MOST_SHAPES) & ((F.col("words") >= LEAST_WORDS) | (F.col("links") >= LEAST_LINKS)))
+        F.collect_list(F.when(is_stuff, F.col("chars"))).alias("_sizes"), F.sum("chars").alias("_chars"),
+    )
+    largest = F.aggregate(F.slice(F.sort_array("_sizes", asc=False), 1, MOST_SHAPES), F.lit(0).cast("bigint"), lambda a, b: a + b)
+    stuffed = by.where((F.col("share") >= STUFFED_SHARE) & ((F.col("words") >= LEAST_WORDS) | (F.col("links") >= LEAST_LINKS)))
+    return stuffed.where(largest >= STUFFED_SHARE * F.col("_chars")).drop("_sizes", "_chars")
 
 
 def find_stuffed(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

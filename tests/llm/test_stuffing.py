@@ -45,3 +45,18 @@ def test_pages(spark):
 def test_same_text_twice(spark):
     df = spark.createDataFrame([(1, STUFFED[2]), (2, STUFFED[2])], "doc_id bigint, text string")
     assert sorted(r.doc_id for r in stuffing.find_stuffed(df).collect()) == [1, 2]
+
+
+def test_long_page_of_many_shapes(spark):
+    """More shapes than MOST_SHAPES, the few largest of which hold most of the page."""
+    word = "cheap replica outlet coupon seo slot bonus vape kits deals watch straps chairs mats phone cases credit sale".split()
+    few = [", ".join(word[:9])] * 60 + [" ".join(word[:9])] * 60
+    many = []
+    for n in (5, 9, 17):
+        for seps in (0, 1, 3, 6):
+            line = " ".join(w + ("," if k < min(seps, n - 1) else "") for k, w in enumerate(word[:n]))
+            many += [line, line.capitalize(), line + " tag:x", line.capitalize() + " tag:x"]
+    code = [f"\tStatusPaten{k} Status = {k}" for k in range(900)]
+    df = spark.createDataFrame([(1, added(few + many)), (2, added(few + many + code)), (3, added(few[:1] + code))], "doc_id bigint, text string")
+    got = stuffing.stuffed_parts(df).where("part = 'added'").collect()
+    assert [r.doc_id for r in got] == [1] and got[0].shapes > stuffing.MOST_SHAPES and got[0].share == 1.0
