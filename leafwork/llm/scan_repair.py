@@ -19,7 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafwork.llm import boosting
@@ -47,7 +47,8 @@ _HYPHENS = "-‐¬­‑"
 _BREAK = re.compile(r"([^\W\d_]+|[^\W_]*[^\W\d_])([-‐¬­‑])[ \t]*$")
 #: The same for whole texts and for both engines: a word divided at a break of line, put together.
 DIVIDED = r"(?<!\p{L})(\p{L}++)[-‐¬\u00AD‑][ \t]*\n[ \t]*(\p{L}+)"
-#: A last word without a mark after it may be cut; a piece of a word is like too many words.
+#: A last word without a mark after it may be cut; a piece of a word is like too many words.  It is judged unless a
+#: frequent word begins with it.
 CUT_OFF = r"(?<![\p{L}\p{N}])[\p{L}\p{N}]++\s*+(?:\[?(?:\.{3}|…|\x{FFFD})\]?)?\s*+(?:\(more\))?\s*+$"
 _DIVIDED = re.compile(r"(?<![^\W\d_])([^\W\d_]++)[-‐¬­‑][ \t]*\n[ \t]*([^\W\d_]+)")
 _NEXT = re.compile(r"^[ \t]*([^\W_]+)")
@@ -381,11 +382,21 @@ def judge(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame, DataFra
     sample = frequent_sample(words)
     compounds = [(r[0], r[1]) for r in counts.where("kind = 'c'").select("word", "n").orderBy(F.desc("n"), "word").limit(SAMPLE_WORDS // 10).collect()]
     fixed = broadcast_if_small(corrections(words, sample), "corrections")
-    whole = F.regexp_replace("text", CUT_OFF, "")
-    token = F.explode(F.array_distinct(F.split(F.when(F.col("text").contains("\n"), F.regexp_replace(whole, DIVIDED, "$1$2")).otherwise(whole), r"[^\p{L}\p{N}]+"))).alias("token")
-    tokens = texts.select(*keys, token).where(F.length("token").between(MIN_WORD, MAX_WORD)).withColumn("seen", F.lower("token"))
+    joined = F.when(F.col("text").contains("\n"), F.regexp_replace("text", DIVIDED, "$1$2")).otherwise(F.col("text"))
+
+    def words_of(text: Column) -> Column:
+        """The distinct words; the last one, if no mark stands after it, only behind a hyphen."""
+        split = lambda s: F.split(s, r"[^\p{L}\p{N}]+")
+        apart = F.transform(F.array(F.regexp_replace(text, CUT_OFF, "")), lambda w: F.concat(F.array_distinct(split(w)), F.array(F.concat(F.lit("-"), split(F.substr(text, F.length(w) + 1))[0]))))
+        return F.flatten(apart)
+
+    tokens = texts.select(*keys, F.explode(F.flatten(F.transform(F.array(joined), words_of))).alias("_t"))
+    tokens = tokens.select(*keys, F.ltrim(F.col("_t"), F.lit("-")).alias("token"), F.startswith("_t", F.lit("-")).alias("last")).where(F.length("token").between(MIN_WORD, MAX_WORD)).withColumn("seen", F.lower("token"))
     tokens = tokens.where((F.length("token") > MIN_WORD) | ~F.col("token").rlike(r"^\p{Lu}"))  # a short name is like too many words
-    misread = tokens.join(fixed, "seen").select(*keys, F.col("token").alias("seen"), "true", F.col("token").rlike(r"^[\p{Ll}\d]").alias("small")).distinct()
+    common = words.where((F.col("n") >= RARER) & F.col("word").rlike(r"^\p{L}+$") & (F.length("word") > MIN_WORD))
+    begun = common.select(F.explode(F.transform(F.sequence(F.lit(MIN_WORD), F.length("word") - 1), lambda k: F.substring("word", 1, k))).alias("seen")).join(fixed.select("seen"), "seen", "left_semi").distinct().withColumn("begun", F.lit(True))
+    fixed = broadcast_if_small(fixed.join(begun, "seen", "left").select("seen", "true", F.coalesce("begun", F.lit(False)).alias("begun")), "fixed")
+    misread = tokens.join(fixed, "seen").where(~(F.col("last") & F.col("begun"))).select(*keys, F.col("token").alias("seen"), "true", F.col("token").rlike(r"^[\p{Ll}\d]").alias("small")).distinct()
     lines = materialize(page_lines(texts, keys, train_furniture([w for w, _ in sample])), "lines")
     breaks = lines.select(*keys, F.explode("breaks").alias("b")).select(*keys, "b.line", "b.left", "b.mark", "b.right").distinct()
     halves = {"n_left": F.lower("left"), "n_right": F.lower("right"), "n_whole": F.lower(F.concat("left", "right"))}

@@ -138,3 +138,12 @@ def test_headers_with_roman_numbers(spark, pages):
     df = spark.createDataFrame([(k, "\n".join([*t[:2], h, *t[2:]])) for k, (t, h) in enumerate(zip(texts, heads, strict=True))], "k int, text string")
     got = {r.k: list(r.furniture) for r in S.page_lines(df, ["k"], S.train_furniture(WORDS)).collect()}
     assert got == {k: [2] for k in range(len(heads))}
+
+
+def test_last_words(spark, pages):
+    """A misread last word counts without a mark after it; the beginning of a frequent word is no misread one."""
+    clean = pages[0]
+    data = [("c", k, x) for k, x in enumerate(clean)] + [("n", 0, "The required rnaintenance"), ("n", 1, "temperafure"), ("n", 2, "A narrow laborafory"), ("o", 0, "The required main"), ("o", 1, "The pump of the arch"), ("o", 2, "The modest tempera")]
+    df = spark.createDataFrame(data, "who string, k int, text string")
+    got = {(r.who, r.k) for r in S.find_scan_noise(df, ["who", "k"]).collect()}
+    assert {x for x in got if x[0] != "c"} == {("n", 0), ("n", 1), ("n", 2)}
