@@ -18,7 +18,7 @@ import html
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 
 from pyspark.sql import DataFrame
@@ -48,11 +48,22 @@ def normal_words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def own_passages(items: list[tuple[int, str]]) -> dict[int, list[str]]:
+def _sentences(text: str) -> list[list[str]]:
+    return [normal_words(s) for s in re.split(r"(?<=[.!?])\s+|\n+", text)]
+
+
+def shared_sentences(items: Iterable[tuple[int, str]]) -> set[tuple[str, ...]]:
+    """The sentences, as words, that more than one item has."""
+    once, more = set(), set()
+    for _, text in items:
+        for key in {tuple(s) for s in _sentences(text)}:
+            (more if key in once else once).add(key)
+    return more
+
+
+def own_passages(items: list[tuple[int, str]], shared: set[tuple[str, ...]]) -> dict[int, list[str]]:
     """The words of each item without the sentences that other items have too."""
-    split = {i: [normal_words(s) for s in re.split(r"(?<=[.!?])\s+|\n+", t)] for i, t in items}
-    seen = Counter(key for sentences in split.values() for key in {tuple(s) for s in sentences})
-    return {i: [w for s in sentences if seen[tuple(s)] < 2 for w in s] for i, sentences in split.items()}
+    return {i: [w for s in _sentences(t) if tuple(s) not in shared for w in s] for i, t in items}
 
 
 def _grams(ids):
@@ -72,11 +83,11 @@ def _grams(ids):
     return h
 
 
-def _index(items: list[tuple[int, str]]) -> tuple[dict, dict, object, list]:
+def _index(items: list[tuple[int, str]], shared: set[tuple[str, ...]]) -> tuple[dict, dict, object, list]:
     """What a task needs of a block of items, in plain types: passages, word numbers, sorted n-grams, the items of each."""
     import numpy as np
 
-    passages, vocabulary, where = own_passages(items), {}, defaultdict(list)
+    passages, vocabulary, where = own_passages(items, shared), {}, defaultdict(list)
     for i, words in passages.items():
         ids = np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words], np.int64)
         for g in set(_grams(ids).tolist()):
@@ -159,7 +170,7 @@ def _verify(passages: dict, items: list, words: list[str], hits: list[tuple[int,
 
 
 def _blocks(items: DataFrame, item_id: str, text: str) -> list[list[tuple[int, str]]]:
-    """The items in blocks of about BLOCK_WORDS words.  Sentences shared across blocks are known by all of them."""
+    """The items in blocks of about BLOCK_WORDS words."""
     out, size = [[]], 0
     for key, body in items.where(F.length(text) > 0).groupBy(item_id).agg(F.max(text)).toLocalIterator():
         out[-1].append((key, body))
@@ -182,8 +193,10 @@ def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", d
     names = ["doc_id", "item_id", "matched_words", "passage_words", "first_word", "last_word", "spans"]
     docs = documents.select(doc_id, doc_text).where(F.length(doc_text) > 0)
     found = None
-    for block in _blocks(items, item_id, item_text):
-        shared = documents.sparkSession.sparkContext.broadcast(_index(block))
+    blocks = _blocks(items, item_id, item_text)
+    common = shared_sentences(item for block in blocks for item in block)  # over all blocks
+    for block in blocks:
+        shared = documents.sparkSession.sparkContext.broadcast(_index(block, common))
 
         def run(batches: Iterator, shared=shared) -> Iterator:
             import numpy as np

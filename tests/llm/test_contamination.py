@@ -118,3 +118,16 @@ def test_many_copies_in_a_row():
     places = [at for at in range(len(text)) if "x" not in text[at : at + C.NGRAM]]
     want = [(7 + 61 * k, 66 + 61 * k) for k in range(400)] + [(len(text) - 25, len(text) - 1)]
     assert sorted(C._runs(words, text, 0, len(text), places)) == want
+
+
+def test_sentences_shared_across_blocks(spark, monkeypatch):
+    rng = random.Random(9)
+    instruction = " ".join(f"i{k}" for k in range(30)) + "."
+    items = [(k, f"{instruction} {passage(rng)}") for k in range(6)]
+    docs = [(1, instruction), (2, items[2][1]), (3, passage(rng))]
+    d, i = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    want = sorted(map(tuple, C.find_leaks(d, i).collect()))
+    assert [r[:2] for r in want] == [(2, 2)]
+    monkeypatch.setattr(C, "BLOCK_WORDS", 10)
+    assert len(C._blocks(i, "item_id", "text")) == 6
+    assert sorted(map(tuple, C.find_leaks(d, i).collect())) == want
