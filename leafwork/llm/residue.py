@@ -82,7 +82,9 @@ NOTICES = r"(?i)" + _START + "(?:" + "|".join([
     r"Verify(?:ing)? (?:that )?you are (?:a )?human\b",
 ]) + ")"
 #: Quoted and code spans, and set-builder formulas: what a description shows, not what it is.
-SHOWN = r'"[^"\n]{0,200}"|“[^”\n]{0,200}”|«[^»\n]{0,200}»|„[^“\n]{0,200}“|```[\s\S]*?```|`[^`\n]{1,200}`|\{\s*\w\s*[|:∣][^{}\n]*\}'
+FORMULA = r'\{\s*\w\s*[|:∣][^{}\n]*\}'
+SHOWN = r'"[^"\n]{0,200}"|“[^”\n]{0,200}”|«[^»\n]{0,200}»|„[^“\n]{0,200}“|```[\s\S]*?```|`[^`\n]{1,200}`|' + FORMULA
+_QUOTES = r'["“”«»„`]'
 #: A tutorial or a source view speaks of placeholders; its own sentence isn't residue.
 _TUTORIAL_WORDS = r"(?i)\b(?:code editor|template (?:line|syntax|language)|placeholder (?:box|boxes|syntax|fields?)|source code|code snippet|syntax example|mock-?up|wireframe)\b"
 TUTORIAL = r"(?i)(?<![^.!?\n])[^.!?\n]*?" + _TUTORIAL_WORDS[4:] + r"[^.!?\n]*+[.!?]?"
@@ -96,9 +98,16 @@ def has_content(text: Column) -> Column:
 
 
 def bare_text(text: Column) -> Column:
-    """The text without what it only shows: quoted and code spans, formulas, sentences of a tutorial."""
-    shown = F.regexp_replace(text, SHOWN, " ")
-    return F.when(text.rlike(_TUTORIAL_WORDS), F.regexp_replace(shown, TUTORIAL, " ")).otherwise(shown)
+    """The text without what it only shows: quoted and code spans, formulas, sentences of a tutorial.
+
+    A text without a word outside its quoted and code spans shows nothing, it is what stands in them.
+    """
+
+    def outside(rest: Column) -> Column:
+        told = F.when(text.rlike(_TUTORIAL_WORDS), F.regexp_replace(rest, TUTORIAL, " ")).otherwise(rest)
+        return F.when(rest.rlike(r"[\p{L}\p{N}]") | ~text.rlike(_QUOTES), told).otherwise(F.regexp_replace(F.regexp_replace(text, FORMULA, " "), _QUOTES, " "))
+
+    return F.transform(F.array(F.regexp_replace(text, SHOWN, " ")), outside)[0]
 
 
 def residue_kinds(text: Column) -> Column:

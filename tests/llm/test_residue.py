@@ -50,3 +50,10 @@ def test_empty_and_long(spark):
     assert {r.k for r in residue.detect_residue(df, ["k"], "d").collect()} == {1}
     none = residue.detect_residue(df.where("false"), ["k"], "d")
     assert none.columns == ["k", "kinds"] and none.count() == 0
+
+
+def test_nothing_but_a_quoted_placeholder(spark):
+    residue_ = ['"{{caption}}"', "`{{caption}}`", "“{{caption}}”", ' "{{caption}}"\n']
+    shown = ['A settings page whose label reads "{{caption}}" in grey.', '"The late mill"', "{x | x > 3}", "`x = 3`"]
+    df = spark.createDataFrame(list(enumerate(residue_ + shown)), "k int, text string")
+    assert {r.k for r in residue.detect_residue(df, ["k"], "text").collect()} == set(range(len(residue_)))
