@@ -11,12 +11,16 @@ CASES = [
     "HTTP 404 - Not Found\nRequest id 2", "Error 500: Internal Server Error", "403 Forbidden", '{"error": {"code": 504, "message": "x"}}', "<html><head><title>429 Too Many Requests</title></head></html>",
     "This image could not be loaded. Try again later.", "Erreur 500 : le serveur a rencontré un problème.", "Diese Seite konnte nicht gefunden werden (Fehler 404).", "Traceback: connection reset",
     "Please enable JavaScript to view this content.", "Bitte aktivieren Sie JavaScript, um diese Seite anzuzeigen.", "Your session has expired.", "Access denied. You don't have permission.", "Checking your browser before you continue.", "Loading...",
+    "{{ " + "image.description_of_the_figure_" * 3 + " }}", "Die Seite wurde nicht gefunden.", "Tu sesión ha caducado, vuelve a entrar.", "Forbidden: you lack the rights to see this file.", "Página no encontrada. Vuelva al inicio.", "Exemple de légende, à remplacer.",
+    "La pagina richiesta non è stata trovata.", "Documento não encontrado.", "La session a expiré.", "The document you asked for could not be opened.", "You are not authorized to view this picture.", "Template: {{title}} {{unit}} explains {{year}}",
 ]
 HONEST = [
     'The slide shows a template line "Dear {{name}}" inside a code editor.', "The formula {x | x > 7} stands above a map.", 'A to-do list on a whiteboard: "TODO: order meters".', "A mock-up of the page, filled with lorem ipsum as sample copy.",
     "Screenshot of a browser that shows a 404 page in blue.", 'The client retries after the gateway answers "502 Bad Gateway".', "A dialog asks the user to enable JavaScript; beneath it a button.", "Diagram of a form with 8 placeholder boxes.",
     "The map counts 500 and 503 responses per year; errors fell.", "A chart for 5 samples.", "Output widened by 45 percent [284] in 2012.", "Demand = 5x + 77", "See model R2O-91.", "A | 3 | 4", "Also listed: mill, mill, kiln, 22222222.",
     "Source: Login depot survey, 2023", "Growth of 37.5% (marked in red).", "An arrow -> points at x < 5 and y > 3.",
+    "A page of documentation that explains how {{ user }} is written.", "Screenshot of a settings guide: the field {name} stands for the name of the user.", 'A poster quotes "' + "the mill was read twice before the committee met, " * 6 + 'then {{ name }} follows" beside a map.',
+    "The slide shows 'Page not found' as a label beside the mill.", "The chart shows that 5 of 9 requests failed in 2012.", "A server rack and a service desk in a hall; neither is available to visitors.", "Das Diagramm zeigt die Seite der Halle, die nicht beheizt wird.",
 ]
 NOTHING = [None, "", "  \n ", "(no description)"]
 
