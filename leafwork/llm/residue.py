@@ -46,7 +46,7 @@ PLACEHOLDERS = {
 }
 _GRAMMAR = "|".join(f"(?:{p})" for p in PLACEHOLDERS.values())
 #: What any of the grammars needs; cheaper than all of them at every character.
-_GATE = r"[{<\[@$#_]|%[%\dA-Za-z]|\((?i:your|insert|add|enter)\s|XX|YY|ZZ|NN|undefined|null|NaN|None|(?i:\bhere\b)|(?im:^\s*(?:TBD|TODO|FIXME|Click|Tap|Enter)\b)"
+_GATE = r"[{<\[@$#_]|(?=[%(XYZNun])(?:%[%\dA-Za-z]|\((?i:your|insert|add|enter)\s|[XYZN]{2}|undefined|null|NaN|None)|(?<![\p{L}\d])[Hh][Ee][Rr][Ee]\b|(?m:^)\s*(?i:TBD|TODO|FIXME|Click|Tap|Enter)\b"
 #: Markers of filler text.
 FILLER_MARK = (
     r"(?i)(?:^|[.!?\n]\s*|^\W*)(?:lorem ipsum\b|dummy text\b|placeholder text\b|platzhaltertext\b|blindtext\b|beispieltext\b|texto de (?:ejemplo|relleno|prueba)\b|texte (?:à compléter|de remplissage|d'exemple|factice)|sample text\b|this is (?:a )?(?:sample|placeholder|dummy)\b"
@@ -115,7 +115,7 @@ FILLER_WORD_SHARE, FILLER_SENTENCE_SHARE, FILLER_SENTENCE_WORDS = 0.3, 0.7, 5
 
 
 def has_content(text: Column) -> Column:
-    return text.isNotNull() & (F.trim(F.regexp_replace(text, r"(?U)\s+", " ")) != "") & (F.trim(text) != DEFAULT_TEXT)
+    return text.isNotNull() & text.rlike(r"(?U)\S") & (F.trim(text) != DEFAULT_TEXT)
 
 
 def _count_words(text: Column) -> Column:
@@ -136,7 +136,7 @@ def bare_text(text: Column) -> Column:
     def outside(rest: Column) -> Column:
         return F.when(~text.rlike(_QUOTES) | (_count_words(rest) >= SHOWN_WORDS), told(rest)).otherwise(F.regexp_replace(F.regexp_replace(text, FORMULA, " "), _QUOTES, " "))
 
-    return F.transform(F.array(F.regexp_replace(text, SHOWN, " ")), outside)[0]
+    return F.transform(F.array(F.when(text.rlike(_QUOTES[:-1] + "{]"), F.regexp_replace(text, SHOWN, " ")).otherwise(text)), outside)[0]
 
 
 def residue_kinds(text: Column) -> Column:
