@@ -17,13 +17,15 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left, bisect_right
-from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections import defaultdict
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafwork.runtime import materialize
+
 #: Words in a window; matched words that make a case; their share of the words between the first and the last
 #: match in the passage (a few may be replaced) and in the document (layout may put words between).
 NGRAM, MIN_WORDS, MIN_KEPT, MIN_DENSITY = 5, 20, 0.8, 0.6
@@ -52,18 +54,27 @@ def _sentences(text: str) -> list[list[str]]:
     return [normal_words(s) for s in re.split(r"(?<=[.!?])\s+|\n+", text)]
 
 
-def shared_sentences(items: Iterable[tuple[int, str]]) -> set[tuple[str, ...]]:
-    """The sentences, as words, that more than one item has."""
-    once, more = set(), set()
-    for _, text in items:
-        for key in {tuple(s) for s in _sentences(text)}:
-            (more if key in once else once).add(key)
-    return more
+def own_passages(items: DataFrame, item_id: str, text: str) -> DataFrame:
+    """(item_id, passage, n_words): the words of each item without the sentences that other items have too.
+
+    Sentences are counted over all items, so it doesn't matter in which block an item is taken later.  Of several
+    texts of one item the greatest counts.
+    """
+    kind = items.schema[item_id].dataType.simpleString()
+    one = items.where(F.length(text) > 0).groupBy(F.col(item_id).alias("item_id")).agg(F.max(text).alias("text"))
+
+    def run(batches: Iterator) -> Iterator:
+        import pandas as pd
 
+        for batch in batches:
+            rows = [(key, at, " ".join(words), len(words)) for key, body in zip(batch.iloc[:, 0], batch.iloc[:, 1], strict=True) for at, words in enumerate(_sentences(body)) if words]
+            yield pd.DataFrame(rows, columns=["item_id", "at", "sentence", "n"])
 
-def own_passages(items: list[tuple[int, str]], shared: set[tuple[str, ...]]) -> dict[int, list[str]]:
-    """The words of each item without the sentences that other items have too."""
-    return {i: [w for s in _sentences(t) if tuple(s) not in shared for w in s] for i, t in items}
+    sentences = one.mapInPandas(run, f"item_id {kind}, at int, sentence string, n bigint")
+    shared = sentences.groupBy("sentence").agg(F.count_distinct("item_id").alias("_items")).where("_items > 1").select("sentence")
+    own = sentences.join(shared, "sentence", "left_anti")
+    words = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "sentence"))), lambda r: r["sentence"]), " ")
+    return own.groupBy("item_id").agg(words.alias("passage"), F.sum("n").alias("n_words"))
 
 
 def _grams(ids):
@@ -83,11 +94,11 @@ def _grams(ids):
     return h
 
 
-def _index(items: list[tuple[int, str]], shared: set[tuple[str, ...]]) -> tuple[dict, dict, object, list]:
+def _index(passages: dict[int, list[str]]) -> tuple[dict, dict, object, list]:
     """What a task needs of a block of items, in plain types: passages, word numbers, sorted n-grams, the items of each."""
     import numpy as np
 
-    passages, vocabulary, where = own_passages(items, shared), {}, defaultdict(list)
+    vocabulary, where = {}, defaultdict(list)
     for i, words in passages.items():
         ids = np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words], np.int64)
         for g in set(_grams(ids).tolist()):
@@ -113,8 +124,8 @@ def align(passage: list[str], words: list[str]) -> tuple[int, int, int] | None:
     return None
 
 
-def _runs(passage: list[str], words: list[str], low: int, high: int, places: list[int]) -> Iterator[tuple[int, int]]:
-    """(first word, last word) of every verified run of the passage in ``words[low:high]``; places: where n-grams of it begin, sorted.
+def _runs(passage: list[str], words: list[str], low: int, high: int, places: list[int]) -> Iterator[tuple[int, int, int]]:
+    """(matched words, first word, last word) of every verified run of the passage in ``words[low:high]``; places: where n-grams of it begin, sorted.
 
     The words left and right of a run are aligned again.  Only a few times the passage's length is aligned at once, so
     many copies in a row cost in proportion to their number.
@@ -135,14 +146,14 @@ def _runs(passage: list[str], words: list[str], low: int, high: int, places: lis
             open_ += [(low, first), (first, high)]
             continue
         if got[0] >= enough:
-            yield first, last
+            yield got[0], first, last
         open_ += [(low, first), (last + 1, high)]
 
 
-def _verify(passages: dict, items: list, words: list[str], hits: list[tuple[int, int]], spans: bool = False) -> list[tuple[int, int, int, int, list]]:
+def _verify(passages: dict, items: list, words: list[str], hits: list[tuple[int, int]]) -> list[tuple[int, int, int, int, list]]:
     """(item, matched, first, last, spans) of each item that is really there.  hits: (position, gram number).
 
-    The first numbers are those of the best run; ``spans`` are all verified ones, if they are asked for.
+    The first numbers are those of the best run; ``spans`` are all verified ones.
     """
     near: dict[int, list[int]] = defaultdict(list)
     for at, g in hits:
@@ -151,52 +162,41 @@ def _verify(passages: dict, items: list, words: list[str], hits: list[tuple[int,
     found = []
     for i, places in near.items():
         passage = passages[i]
-        reach, best, groups = len(passage), None, []
-        group = [places[0]]
+        reach, runs, group = len(passage), set(), [places[0]]
         for at in [*places[1:], None]:
             if at is not None and at - group[-1] <= reach:
                 group.append(at)
                 continue
             if len(group) + NGRAM - 1 >= MIN_WORDS // 3:
-                low = max(0, group[0] - 40)
-                got = align(passage, words[low : group[-1] + NGRAM + 40])
-                if got and (best is None or got[0] > best[0]):
-                    best = (got[0], got[1] + low, got[2] + low)
-                groups.append((low, min(len(words), group[-1] + NGRAM + 40)))
+                runs.update(_runs(passage, words, max(0, group[0] - 40), min(len(words), group[-1] + NGRAM + 40), places))
             group = [at]
-        if best and best[0] >= min(MIN_WORDS, len(passage)):
-            found.append((i, *best, sorted({run for low, high in groups for run in _runs(passage, words, low, high, places)}) if spans else []))
+        if runs:
+            best = max(runs, key=lambda r: (r[0], -r[1]))
+            found.append((i, *best, sorted({(first, last) for _, first, last in runs})))
     return found
 
 
-def _blocks(items: DataFrame, item_id: str, text: str) -> list[list[tuple[int, str]]]:
-    """The items in blocks of about BLOCK_WORDS words."""
-    out, size = [[]], 0
-    for key, body in items.where(F.length(text) > 0).groupBy(item_id).agg(F.max(text)).toLocalIterator():
-        out[-1].append((key, body))
-        size += len(body) // 5
-        if size > BLOCK_WORDS:
-            out.append([])
-            size = 0
-    return [b for b in out if b]
-
-
 def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", *, spans: bool = False) -> DataFrame:
     """``doc_id, item_id, matched_words, passage_words``, one row for each leaked pair.
 
     With ``spans`` also ``first_word`` and ``last_word``, the place of the best run in the document's normalised words,
     and ``spans``, the places of all verified runs: a passage may stand in a document more than once.
-    Beyond BLOCK_WORDS the items are taken in blocks, each of which passes over the documents once.
+    Beyond BLOCK_WORDS the items are taken in blocks of about that size by a hash of the item, each of which passes
+    over the documents once, is written, and is released before the next; results are the same.
     """
     d, i = documents.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
     schema = f"doc_id {d}, item_id {i}, matched_words bigint, passage_words bigint, first_word bigint, last_word bigint, spans array<struct<first_word:bigint,last_word:bigint>>"
     names = ["doc_id", "item_id", "matched_words", "passage_words", "first_word", "last_word", "spans"]
     docs = documents.select(doc_id, doc_text).where(F.length(doc_text) > 0)
+    own = materialize(own_passages(items, item_id, item_text), "passages")
+    blocks = -(-(own.agg(F.sum("n_words")).first()[0] or 0) // BLOCK_WORDS)
     found = None
-    blocks = _blocks(items, item_id, item_text)
-    common = shared_sentences(item for block in blocks for item in block)  # over all blocks
-    for block in blocks:
-        shared = documents.sparkSession.sparkContext.broadcast(_index(block, common))
+    for block in range(blocks):
+        mine = own.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block) if blocks > 1 else own
+        passages = {r[0]: r[1].split(" ") for r in mine.select("item_id", "passage").toLocalIterator()}
+        if not passages:
+            continue
+        shared = documents.sparkSession.sparkContext.broadcast(_index(passages))
 
         def run(batches: Iterator, shared=shared) -> Iterator:
             import numpy as np
@@ -223,12 +223,15 @@ def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", d
                 for doc in np.unique(owner).tolist():
                     mine = owner == doc
                     hits = list(zip((at[mine] - starts[doc]).tolist(), place[mine].tolist(), strict=True))
-                    for item, matched, first, last, runs in _verify(passages, owners, all_words[doc], hits, spans):
+                    for item, matched, first, last, runs in _verify(passages, owners, all_words[doc], hits):
                         out.append((keys[doc], item, matched, len(passages[item]), first, last, [{"first_word": a, "last_word": b} for a, b in runs]))
                 if out:
                     yield pd.DataFrame(out, columns=names)
 
         part = docs.mapInPandas(run, schema)
+        if blocks > 1:  # one block at a time in the memory of a task and of the driver
+            part = materialize(part, "leaks")
+            shared.destroy()
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = documents.sparkSession.createDataFrame([], schema)

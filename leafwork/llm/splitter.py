@@ -8,7 +8,8 @@ overlap before the cut.  Where there is no boundary at all the cut is hard, at t
 
 Defined results: characters are code points.  Null and empty texts and texts within the limit have no pieces
 (they need none).  Sizes: an item of exactly ``max_chars`` isn't cut.  ``overlap_chars`` null or negative counts as 0
-and is at most half of ``max_chars``, so that every piece advances.  A limit that is null or below 1 cuts nothing.
+and is honoured for every value below ``max_chars``; one
+of ``max_chars`` or more counts as ``max_chars - 1``, so that every piece advances (``overlap`` tells what was taken).  A limit that is null or below 1 cuts nothing.
 Removing the first ``overlap`` characters of each piece but the first and joining gives the text back.
 """
 
@@ -56,7 +57,7 @@ def boundaries(text: str) -> list[list[int]]:
 
 def cut(text: str, limit: int, overlap: int, min_fill: float = MIN_FILL) -> list[tuple[int, int, str]]:
     """(start, end, kind of the cut at the end) of each piece, in order."""
-    overlap = max(0, min(overlap, limit // 2))
+    overlap = max(0, min(overlap, limit - 1))
     names = ("paragraph", "line", "sentence", "clause", "word")
     ranks, pieces, start = boundaries(text), [], 0
     while len(text) - start > limit:
@@ -116,7 +117,8 @@ def sized_items(layout_kids: DataFrame, page_units: DataFrame, size_limits: Data
     """``table_name, doc_id, item_id, body, max_chars, overlap_chars`` of both tables, each with its limit."""
     kids = layout_kids.select(F.lit("layout_kids").alias("table_name"), "doc_id", F.col("id").cast("long").alias("item_id"), F.col("content").alias("body"))
     pages = page_units.select(F.lit("page_units").alias("table_name"), "doc_id", F.col("number").cast("long").alias("item_id"), joined_blocks().alias("body"))
-    limits = F.broadcast(size_limits.select("table_name", "max_chars", "overlap_chars"))  # one row a table name
+    # one row a table name; Catalyst broadcasts it by its size
+    limits = size_limits.groupBy("table_name").agg(F.max("max_chars").alias("max_chars"), F.max("overlap_chars").alias("overlap_chars"))
     return kids.unionByName(pages).join(limits, "table_name")
 
 

@@ -7,10 +7,10 @@ TEXT = st.text(st.sampled_from("ab é.!?,;:\n\n 中文。，\"'-—…1") | st.c
 
 
 @settings(max_examples=400, deadline=None)
-@given(TEXT, st.integers(1, 60), st.integers(0, 40))
+@given(TEXT, st.integers(1, 60), st.integers(0, 70))
 def test_round_trip(text, limit, overlap):
     pieces = splitter.cut(text, limit, overlap)
-    over = min(overlap, limit // 2)
+    over = min(overlap, limit - 1)
     assert pieces[0][0] == 0 and pieces[-1][1] == len(text)
     back = ""
     for n, (start, end, _) in enumerate(pieces):
@@ -29,6 +29,12 @@ def test_best_boundary_wins():
     assert splitter.cut("abc", 3, 1) == [(0, 3, "end")]
 
 
+def test_every_overlap_below_the_limit_is_kept():
+    for overlap in range(10):
+        pieces = splitter.cut("one two three four five six seven", 10, overlap)
+        assert {a[1] - b[0] for a, b in zip(pieces, pieces[1:])} == {overlap}
+
+
 def test_boundaries_cover_spaces():
     ranks = splitter.boundaries('He said "no." Then, go\nnow\n\nend')
     assert ranks[0] == [28] and ranks[1] == [23] and 14 in ranks[2] and 20 in ranks[3]
