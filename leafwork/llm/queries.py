@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leafwork.llm import contamination, mixing, residue, scan_repair, splitter, stuffing, truncation
-from leafwork.runtime import table
+from leafwork.runtime import materialize, table
 
 
 IMAGE = ["doc_id", "image_id"]
@@ -14,7 +14,8 @@ IMAGE = ["doc_id", "image_id"]
 def _truncated(spark, root):
     """The truncated descriptions that aren't residue."""
     images = table(spark, root, "images")
-    return truncation.find_truncated(images, IMAGE, "description").join(residue.detect_residue(images, IMAGE, "description"), IMAGE, "left_anti")
+    cut = materialize(truncation.find_truncated(images, IMAGE, "description"), "cut")
+    return cut.join(residue.detect_residue(images, IMAGE, "description", within=cut), IMAGE, "left_anti")
 
 
 def p1_found(spark, root):

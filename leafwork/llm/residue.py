@@ -173,16 +173,18 @@ def filler_lexicon(texts: DataFrame, text: str) -> DataFrame:
     return counts.where((F.col("n_marked") > 0) & (F.col("n_marked") >= FILLER_WORD_SHARE * F.col("n"))).select("word")
 
 
-def detect_residue(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+def detect_residue(df: DataFrame, keys: list[str], text: str, within: DataFrame | None = None) -> DataFrame:
     """``keys`` and ``kinds`` (never empty) of the records that are or contain residue, one row for each key.
 
     A key is a case if any delivery of it is one.  The grammars run where the text is read; only counts of
-    words and the cases themselves are shuffled.
+    words and the cases themselves are shuffled.  With ``within`` (keys) only those records are asked about, while the
+    lexicon still comes from all.
     """
-    some = df.select(*keys, F.col(text).alias("_text")).where(has_content(F.col("_text")))
+    every = df.select(*keys, F.col(text).alias("_text")).where(has_content(F.col("_text")))
+    some = every if within is None else every.join(within, keys, "left_semi")
     # outer, since Catalyst would put a filter below an inner explode and build the array twice
     seen = some.select(*keys, F.explode_outer(residue_kinds(F.col("_text"))).alias("kind")).where(F.col("kind").isNotNull())
-    lexicon = broadcast_if_small(filler_lexicon(some, "_text"), "filler_lexicon")
+    lexicon = broadcast_if_small(filler_lexicon(every, "_text"), "filler_lexicon")
     sentences = some.select(*keys, F.posexplode_outer(_sentences(F.col("_text"))).alias("_at", "_s")).where(~F.col("_s").rlike(_TUTORIAL_WORDS))
     words = sentences.select(*keys, "_at", _words(F.col("_s")).alias("_w")).select(*keys, "_at", F.size("_w").alias("_n"), F.explode_outer("_w").alias("word"))
     hits = words.join(lexicon, "word").groupBy(*keys, "_at", "_n").agg(F.count(F.lit(1)).alias("_hits"))
