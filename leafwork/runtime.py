@@ -39,20 +39,40 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, name: str, max_rows: int = 200_000) -> DataFrame:
-    """``df`` as a written table, with a broadcast hint if it has at most ``max_rows`` rows.
+#: What may be broadcast: rows, and bytes of their values as text.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16 << 20
+
+
+def _is_small(df: DataFrame) -> bool:
+    """Whether a written table is within BROADCAST_ROWS and BROADCAST_BYTES; reads it once."""
+    from pyspark.sql import functions as F
+
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(F.length(F.to_json(F.struct("*"))))).first()
+    return rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
+
+
+def broadcast_if_small(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table, with a broadcast hint if it is within BROADCAST_ROWS and BROADCAST_BYTES.
 
     Beyond the bound the join on it shuffles, as any other; the result is the same.
     """
     from pyspark.sql import functions as F
 
     kept = materialize(df, name)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+    return F.broadcast(kept) if _is_small(kept) else kept
+
+
+def lookup(df: DataFrame, written: DataFrame, key: str, salts: int = 16) -> DataFrame:
+    """``df`` with the columns of ``written``, a written table of one row a ``key``; a left join that no hot key can hold up.
 
+    A small table is broadcast; beyond the bound its rows are repeated for ``salts`` parts of each key.
+    """
+    from pyspark.sql import functions as F
 
-def approx_bytes(df: DataFrame) -> int:
-    """Catalyst's own size estimate, the one that chooses broadcast joins."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    if _is_small(written):
+        return df.join(F.broadcast(written), key, "left")
+    parts = written.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")).join(parts, [key, "_salt"], "left").drop("_salt")
 
 
 _written: list[tuple[SparkSession, str]] = []
@@ -71,4 +91,4 @@ def _clean() -> None:
                 p = jvm.org.apache.hadoop.fs.Path(path)
                 p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
         except Exception:  # the session may be gone already
-            return
+            continue
