@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafwork.llm import boosting
-from leafwork.llm.furniture import NUMBERED, PAGE_NUMBER, SENTENCE_END, headline, looks_like_furniture
+from leafwork.llm.furniture import NUMBERED, PAGE_NUMBER, ROMAN_NUMBERED, SENTENCE_END, headline
 from leafwork.runtime import broadcast_if_small, materialize
 
 #: Words the ranker is trained on; how much rarer than its replacement a misread word is; accepted probabilities.
@@ -238,17 +238,25 @@ def corrections(words: DataFrame, sample: list[tuple[str, int]]) -> DataFrame:
     return ranked.unionByName(ligatures).groupBy("seen").agg(F.max(F.struct("p", "true")).alias("best")).select("seen", "best.true", "best.p")
 
 
-def line_features(lines: list[str], k: int, usual: float) -> list[float]:
-    """The form of a line and what its neighbours say: does the sentence go on across it?"""
-    s = lines[k].strip()
-    before = next((x.strip() for x in reversed(lines[:k]) if x.strip()), "")
-    after = next((x.strip() for x in lines[k + 1 :] if x.strip()), "")
-    letters = sum(c.isalpha() for c in s)
-    return [
-        float(bool(PAGE_NUMBER.match(s))), float(bool(NUMBERED.search(s))), float(headline(s)), len(s) / usual, letters / max(1, len(s)),
-        sum(c.isupper() for c in s) / max(1, letters), float(bool(SENTENCE_END.search(s))), float(" | " in s), float(bool(re.match(r"[-*•]\s+\S*[a-z]", s))),
-        float(bool(before) and not SENTENCE_END.search(before)), float(after[:1].islower()), float(k == 0 or not before), float(not after), float(bool(before) and before[-1] in _HYPHENS), float(len(s.split())),
-    ]
+def page_features(lines: list[str]) -> tuple[list[int], list[list[float]]]:
+    """The indexes of the lines that aren't blank and, for each, its form and what its neighbours say: does the sentence go on across it?"""
+    kept = [k for k, s in enumerate(lines) if s.strip()]
+    stripped = [lines[k].strip() for k in kept]
+    usual, total = _usual(lines), sum(map(len, stripped))
+    rows = []
+    for at, (k, s) in enumerate(zip(kept, stripped, strict=True)):
+        before, after = stripped[at - 1] if at else "", stripped[at + 1] if at + 1 < len(kept) else ""
+        letters = sum(map(str.isalpha, s))
+        open_before = bool(before) and not SENTENCE_END.search(before)
+        digit = any(map(str.isdigit, s))
+        rows.append([
+            float(bool(PAGE_NUMBER.match(s))), float((digit and bool(NUMBERED.search(s))) or bool(ROMAN_NUMBERED.search(s))), float(headline(s)), len(s) / usual, letters / max(1, len(s)),
+            sum(map(str.isupper, s)) / max(1, letters), float(bool(SENTENCE_END.search(s))), float(s.count(" | ")), float(bool(re.match(r"(?:[-*•]|\d{1,2}[.)])\s", s))),
+            float(open_before), float(after[:1].islower()), float(not before), float(not after), float(bool(before) and before[-1] in _HYPHENS), float(len(s.split())),
+            float(s[:1].islower()), float(open_before and after[:1].islower() and not s[:1].islower()), float(k > 0 and not lines[k - 1].strip()), float(k + 1 < len(lines) and not lines[k + 1].strip()), float(before.count(" | ") + after.count(" | ")), float(s[-1] in _HYPHENS), len(s) / max(1, len(before)),
+            float(bool(re.match(r"#{1,6}\s|[=*_]{2}", s))), float(s in (before, after)), len(s) / (total / len(kept)),
+        ])
+    return kept, rows
 
 
 def train_furniture(sample: list[str], seed: int = 11) -> dict:
@@ -262,18 +270,24 @@ def train_furniture(sample: list[str], seed: int = 11) -> dict:
     def title(n):
         return " ".join(rng.choice(words).capitalize() for _ in range(n))
 
+    def spelled(n):
+        return " ".join(rng.choice(words) for _ in range(n))
+
     def number():
         n = rng.randint(1, 400)
         return rng.choice([f"{n}", f"- {n} -", f"— {n} —", f"[{n}]", f"p. {n}", f"Page {n} of {n + 9}", f"Seite {n}", f"{n} / {n + 50}", rng.choice(["ii", "iv", "vii", "viii", "xi", "xii", "xxii", "xvii"])])
 
     def furniture():
+        """(line, whether it shows by its form alone)"""
         t = title(rng.randint(2, 3))
-        return rng.choice([number(), number(), number(), f"{rng.randint(1, 300)} | {t}", f"Chapter {rng.randint(1, 20)}   {t}   {rng.randint(1, 300)}", f"{t.upper()}   {number()}", t.upper(), f"{t} {rng.randint(1990, 2030)}", f"{title(1)} & {title(1)}: {t}", f"{title(2)} · {title(1)} · Vol. {rng.randint(1, 40)}", f"{t} {number()}", f"{t} Bulletin"])
+        if rng.random() < 0.35:  # lines that only their place gives away
+            return rng.choice([spelled(1).capitalize(), spelled(2), f"{spelled(2)}, {spelled(2)}", f"{spelled(2)}, {spelled(3)}", spelled(3), f"{spelled(1).capitalize()} {spelled(rng.randint(1, 2))}", title(1), f"{title(1)} {rng.choice(words)}", f"{rng.choice(words)} {number()}"]), False
+        return rng.choice([number(), number(), number(), f"{rng.randint(1, 300)} | {t}", f"Chapter {rng.randint(1, 20)}   {t}   {rng.randint(1, 300)}", f"{t.upper()}   {number()}", t.upper(), f"{t} {rng.randint(1990, 2030)}", f"{title(1)} & {title(1)}: {t}", f"{title(2)} · {title(1)} · Vol. {rng.randint(1, 40)}", f"{t} {number()}", t]), True
 
-    for _ in range(700):
+    for _ in range(1400):
         width, lines = rng.randint(40, 70), []
         for _ in range(rng.randint(1, 4)):
-            text = " ".join([rng.choice(words).capitalize(), *(rng.choice(words) if rng.random() < 0.93 else rng.choice([title(1), str(rng.randint(1, 2030))]) for _ in range(rng.randint(9, 26)))]) + rng.choice(".....?!")
+            text = " ".join([rng.choice(words).capitalize(), *(rng.choice(words) if rng.random() < 0.88 else rng.choice([title(1), title(2), str(rng.randint(1, 2030))]) for _ in range(rng.randint(9, 26)))]) + rng.choice(".....?!")
             lines += text.split()
         page, row = [], ""
         for w in lines:
@@ -282,23 +296,51 @@ def train_furniture(sample: list[str], seed: int = 11) -> dict:
                 row = w
             else:
                 row = f"{row} {w}".strip()
+            if row == w and len(w) > 6 and page and rng.random() < 0.15:  # a word divided by the break
+                page[-1] += " " + w[:3] + "-"
+                row = w[3:]
         page.append(row)
+        if rng.random() < 0.25:  # broken off
+            page[-1] = page[-1][: rng.randint(3, max(4, len(page[-1])))].rstrip() or "x"
+        wide = len(page)
         extra = rng.random()
-        if extra < 0.25:
+        if extra < 0.2:
             page += ["", *(f"- {rng.choice(words)}-{rng.choice(words)} {rng.choice(words)}" if rng.random() < 0.7 else f"- {rng.randint(1, 40)} {rng.choice(words)}" for _ in range(3))]
-        elif extra < 0.5:
+        elif extra < 0.4:
             page += [f"{title(1)} | {rng.randint(2009, 2025)} | {rng.randint(2009, 2025)}", *(f"{title(rng.randint(1, 2))} | {rng.randint(1, 99)} | {rng.randint(1, 99)}" for _ in range(2))]
+        elif extra < 0.5:
+            page += [rng.choice([f"{k + 1}. {spelled(rng.randint(1, 4))}", f"{k + 1}) {title(1)} {spelled(2)}"]) for k in range(rng.randint(2, 4))]
+        elif extra < 0.6:
+            page = [f"{rng.choice(words)}: {spelled(rng.randint(1, 3))}" if rng.random() < 0.5 else f"{title(1)} {rng.choice(words)}: {rng.randint(1, 900)}" for _ in range(rng.randint(2, 6))]
+            wide = len(page)
+        elif extra < 0.65:  # a heading of its own above the text
+            page[:0] = [rng.choice([title(2), f"{title(1)} {spelled(2)}"]), ""]
+            wide += 2
+        elif extra < 0.72:
+            page += ["", rng.choice([f"Source: {title(1)} {rng.choice(words)} survey, {rng.randint(2009, 2025)}", f"{title(1)} = {rng.randint(2, 9)}x + {rng.randint(2, 99)}", f"({spelled(3)})"])]
+        elif extra < 0.82:  # sections with headings
+            page = [x for k in range(rng.randint(1, 3)) for x in (rng.choice([f"{'#' * rng.randint(1, 4)} {title(rng.randint(1, 3))}", f"**{title(2)}**"]), "", *page, *([""] if rng.random() < 0.7 else []))]
+            wide = 0
+        elif extra < 0.86:  # lines of a word or two, often the same
+            w = spelled(1)
+            page = [rng.choice([w, w.capitalize(), spelled(1)]) if rng.random() < 0.3 else w for _ in range(rng.randint(3, 14))]
+            wide = 0
+        elif extra < 0.91:  # a message or a caption on a few short lines
+            page = [rng.choice([f"{title(2)}", f"{title(1).upper()} {rng.randint(1, 900)} - {title(2)}", f"{title(1)} {spelled(1)} {rng.randint(1, 99999999)}", f"{title(1).upper()} - {spelled(1)}", f"{title(1)} {spelled(rng.randint(2, 4))}"]) for _ in range(rng.randint(2, 3))]
         marks = [0] * len(page)
-        for _ in range(rng.choice((0, 0, 1, 1, 2))):
-            at = rng.choice((0, len(page), rng.randint(0, len(page))))
-            new = [furniture()] if rng.random() < 0.7 else ["", furniture(), ""]
+        for _ in range(rng.choice((0, 0, 1, 1, 2)) if extra < 0.82 else 0):
+            line, shows = furniture()
+            inner = [k for k in range(1, wide) if page[k - 1].strip() and page[k].strip() and not SENTENCE_END.search(page[k - 1]) and page[k][:1].islower() and not marks[k - 1] and not marks[k]]
+            if not shows and not inner:
+                continue
+            at = rng.choice((0, len(page), rng.randint(0, len(page)))) if shows else rng.choice(inner)
+            new = [line] if rng.random() < 0.7 else ["", line, ""]
             page[at:at], marks[at:at] = new, [int(bool(s)) for s in new]
-        usual = _usual(page)
-        for k, s in enumerate(page):
-            if s.strip():
-                x.append(line_features(page, k, usual))
-                y.append(marks[k])
-    return boosting.fit(x, y, trees=50, depth=4)
+            wide += len(new) if at < wide else 0
+        kept, rows = page_features(page)
+        x += rows
+        y += [marks[k] for k in kept]
+    return boosting.fit(x, y, trees=70, depth=4)
 
 
 def _usual(lines: list[str]) -> float:
@@ -349,9 +391,8 @@ def page_lines(texts: DataFrame, keys: list[str], model: dict) -> DataFrame:
             pages, x = [], []
             for *key, text in batch.itertuples(index=False, name=None):
                 lines = text.split("\n")
-                usual = _usual(lines)
-                asked = [k for k, s in enumerate(lines) if s.strip() and looks_like_furniture(s)]
-                x.extend(line_features(lines, k, usual) for k in asked)
+                asked, rows = page_features(lines)  # every line is judged
+                x.extend(rows)
                 pages.append((key, text, lines, asked))
             p = boosting.predict(model, x).tolist() if x else []
             out, at = [], 0

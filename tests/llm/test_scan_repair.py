@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from leafwork.llm.furniture import looks_like_furniture
 from leafwork.llm import boosting, scan_repair as S
 
 WORDS = "the of and pump mill kiln tram canal ledger survey depot quarry bridge archive laboratory harbour inventory temperature maintenance consumption required reported handled narrow careful modest shallow weekly between during while reached climbed closed committee different greenhouse section percent".split()
@@ -131,9 +132,9 @@ def test_headers_with_roman_numbers(spark, pages):
     """Headers that end or begin with a roman number are judged as those with digits are."""
     heads = ("DRAFT CATALOGUE NOTES viii", "DRAFT MILL NOTES   xi", "DRAFT LEDGER NOTES iv", "Foreign Bakery   xvii", "Seite xii", "147 | Suburban Filter")
     for s in (*heads, "p. xii", "Page iii of xii", "xii | Suburban Filter", "cxlviii", "Late Mill xcv", "DRAFT NOTES   Seite xvii", "Tram Office · Konil · Vol. XII"):
-        assert S.looks_like_furniture(s), s
+        assert looks_like_furniture(s), s
     for s in ("- x axis: season", "handled 2262 vi-", "The kiln handled 2019 i", "I  said so", "X | Y", "Demand = f(x)", "the civil mill", "a line of plain words xi", "noted xi."):
-        assert not S.looks_like_furniture(s), s
+        assert not looks_like_furniture(s), s
     texts = [wrap(p.replace("\n", " ")) for p in pages[0][: len(heads)]]
     df = spark.createDataFrame([(k, "\n".join([*t[:2], h, *t[2:]])) for k, (t, h) in enumerate(zip(texts, heads, strict=True))], "k int, text string")
     got = {r.k: list(r.furniture) for r in S.page_lines(df, ["k"], S.train_furniture(WORDS)).collect()}
@@ -147,3 +148,18 @@ def test_last_words(spark, pages):
     df = spark.createDataFrame(data, "who string, k int, text string")
     got = {(r.who, r.k) for r in S.find_scan_noise(df, ["who", "k"]).collect()}
     assert {x for x in got if x[0] != "c"} == {("n", 0), ("n", 1), ("n", 2)}
+
+
+def test_held_out_furniture(spark, pages):
+    """Forms that no training page has, where a sentence goes on around them; and lines that belong to a text."""
+    heads = ("internal draft, do not circulate", "Confidential", "page twelve", "Property of the archive", "FOR REVIEW ONLY")
+    texts = [wrap(p.replace("\n", " ")) for p in pages[0][: len(heads)]]
+    inner = []
+    for t in texts:
+        at = next(k for k in range(1, len(t)) if t[k][:1].islower() and t[k - 1][-1] not in ".?!")
+        inner.append(at)
+    data = [(k, "\n".join([*t[:at], h, *t[at:]])) for k, (t, h, at) in enumerate(zip(texts, heads, inner, strict=True))]
+    whole = ["\n".join(t) for t in texts] + ["## Rural pump\n\n" + texts[0][0] + "\n\n## Late mill\n\n" + texts[1][0], "HTTP 504 - Gateway Time-out\nRequest id 16619606", "text\ntext\ntext\ntext", "- one pump\n- two mills\n- 3 kilns", "City | 2018 | 2019\nRome | 1 | 2\nParis | 3 | 4"]
+    df = spark.createDataFrame(data + [(100 + k, t) for k, t in enumerate(whole)], "k int, text string")
+    got = {r.k: list(r.furniture) for r in S.page_lines(df, ["k"], S.train_furniture(WORDS)).collect() if r.furniture}
+    assert got == {k: [at] for k, at in enumerate(inner)}
