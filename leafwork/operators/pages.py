@@ -5,21 +5,18 @@ Pictures have ``doc_id, page, idx, x0, y0, x1, y1`` with y growing downward; pag
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafwork.config import DEFAULTS, Config
 
 
-def flip(y_low: str, y_high: str, height: float):
-    """(y0, y1) downward from two heights that grow upward."""
-    return F.lit(height) - F.col(y_high), F.lit(height) - F.col(y_low)
-
-
-def classify(pages: DataFrame, texts: DataFrame, images: DataFrame, cfg: Config = DEFAULTS) -> DataFrame:
+def classify(pages: DataFrame, texts: DataFrame, images: DataFrame, cfg: Config = DEFAULTS, *, fallback: bool = True) -> DataFrame:
     """``pages`` with ``text_len, image_area, n_images, scanned, empty, whole``; texts: doc_id, page, text.
 
-    Overlapping pictures count twice; a page area of 0 counts as 1.
+    A scanned page is taken as a whole, an empty one only with ``fallback`` (else it is a page without items).  Overlapping pictures count twice; a page area of 0 counts as 1.
     """
     by_text = texts.groupBy("doc_id", "page").agg(F.sum(F.length("text")).alias("text_len"))
     w, h = F.greatest(F.lit(0.0), F.col("x1") - F.col("x0")), F.greatest(F.lit(0.0), F.col("y1") - F.col("y0"))
@@ -28,7 +25,7 @@ def classify(pages: DataFrame, texts: DataFrame, images: DataFrame, cfg: Config
     area = F.col("width") * F.col("height")
     scanned = (F.col("text_len") <= cfg.scanned_text_max_chars) & (F.col("image_area") / F.when(area != 0, area).otherwise(1.0) >= cfg.scanned_image_cover)
     out = out.withColumn("scanned", scanned).withColumn("empty", (F.col("text_len") == 0) & (F.col("n_images") == 0))
-    return out.withColumn("whole", F.col("scanned") | F.col("empty"))
+    return out.withColumn("whole", F.col("scanned") | F.col("empty") if fallback else F.col("scanned"))
 
 
 def split_pairs(images: DataFrame, pages: DataFrame, cfg: Config = DEFAULTS) -> DataFrame:
@@ -46,14 +43,29 @@ def split_pairs(images: DataFrame, pages: DataFrame, cfg: Config = DEFAULTS) ->
 def consume(pairs: DataFrame) -> DataFrame:
     """The pairs that are stitched: in order of (n, i), a pair is skipped if either end is taken already.
 
-    A fold over one document's sorted pairs, inside the JVM.
+    Pairs join neighbouring pages, so a pair can only meet ends of its own two pages: one pass over a document's
+    sorted pairs with the taken ends of two pages in hand, in time linear in the pairs whatever a document's size.
     """
-    pair = F.struct("n", "i", "m", "j")
-    kept = F.expr(
-        "aggregate(p, cast(array() as array<struct<n:int,i:int,m:int,j:int>>), (acc, x) -> if(exists(acc, k -> (k.n = x.n AND k.i = x.i) OR (k.m = x.m AND k.j = x.j) OR (k.m = x.n AND k.j = x.i) OR (k.n = x.m AND k.i = x.j)), acc, concat(acc, array(x))))"
-    )
     typed = pairs.select("doc_id", *[F.col(c).cast("int").alias(c) for c in "nimj"])
-    return typed.groupBy("doc_id").agg(F.array_sort(F.collect_list(pair)).alias("p")).select("doc_id", F.inline(kept))
+
+    def run(batches: Iterator) -> Iterator:
+        import pandas as pd
+
+        doc, page, here, there = None, None, set(), set()  # taken ends on page n and on page n + 1
+        for batch in batches:
+            kept = []
+            for row in batch.itertuples(index=False, name=None):
+                key, n, i, m, j = row
+                if key != doc or n != page:
+                    here, there = (there if key == doc and page is not None and n == page + 1 else set()), set()
+                    doc, page = key, n
+                if i not in here and j not in there:
+                    here.add(i)
+                    there.add(j)
+                    kept.append(row)
+            yield pd.DataFrame(kept, columns=["doc_id", "n", "i", "m", "j"])
+
+    return typed.repartition("doc_id").sortWithinPartitions("doc_id", "n", "i").mapInPandas(run, typed.schema)
 
 
 def unconsumed(images: DataFrame, kept: DataFrame) -> DataFrame:
@@ -72,13 +84,13 @@ def stitched(images: DataFrame, kept: DataFrame) -> DataFrame:
     return both.select("doc_id", F.col("n").alias("page"), F.col("i").alias("idx"), F.col("m"), F.col("j"), "x0", "y0", w.alias("w"), (scaled("tw", "th") + scaled("bw", "bh")).alias("h"))
 
 
-def assemble(pages: DataFrame, texts: DataFrame, images: DataFrame, cfg: Config = DEFAULTS) -> DataFrame:
+def assemble(pages: DataFrame, texts: DataFrame, images: DataFrame, cfg: Config = DEFAULTS, *, fallback: bool = True) -> DataFrame:
     """``doc_id, page, pos, kind, ref``: each page's items in reading order.
 
     Whole pages are one item of kind page.  Else texts (doc_id, page, idx, x0, y0), figures that are no half of a
     stitched one and not tiny, and stitched figures; ties keep text before figure before stitched, then the index.
     """
-    marked = classify(pages, texts, images, cfg)
+    marked = classify(pages, texts, images, cfg, fallback=fallback)
     plain = marked.where(~F.col("whole")).select("doc_id", "page")
     flat = images.join(marked.where(~F.col("scanned")).select("doc_id", "page"), ["doc_id", "page"])
     kept = consume(split_pairs(flat, pages, cfg))

@@ -6,16 +6,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafwork.functions import text as T
+from leafwork.runtime import materialize
 
 
-def latest(df: DataFrame, keys: list[str], at: str) -> DataFrame:
-    """One row for each key: the latest by ``at`` (a null time is the earliest; ties: the greatest values).
+def latest(df: DataFrame, keys: list[str], at: str, columns: list[str] | None = None) -> DataFrame:
+    """One row for each key with ``columns`` (default: all others): the latest by ``at``; a null time is the earliest.
 
-    An aggregate, not a window: it combines before it shuffles, and a hot key is no hot task.
+    Of equal times the greatest values in the order of ``columns`` win, so the result doesn't hang on the order of
+    rows.  An aggregate, not a window: it combines before it shuffles, and a hot key is no hot task.  Only ``columns``
+    are read, since what stands in one struct can't be pruned later: name those that are needed.
     """
-    rest = [c for c in df.columns if c not in keys and c != at]
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.coalesce(F.col(at), F.lit("0001-01-01").cast("timestamp"))).alias("_r")) if rest else df.select(*keys).distinct()
-    return best.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]) if rest else best
+    rest = [c for c in df.columns if c not in keys and c != at] if columns is None else columns
+    if not rest:
+        return df.select(*keys).distinct()
+    best = df.groupBy(*keys).agg(F.max(F.struct(F.col(at).alias("_at"), *[F.col(c).alias(f"_{k}") for k, c in enumerate(rest)])).alias("_r"))
+    return best.select(*keys, *[F.col(f"_r._{k}").alias(c) for k, c in enumerate(rest)])
 
 
 def units(page_units: DataFrame) -> DataFrame:
@@ -32,6 +37,22 @@ def number_units(unit_rows: DataFrame) -> DataFrame:
     return unit_rows.select("doc_id", "number", F.row_number().over(Window.partitionBy("doc_id").orderBy("number")).cast("long").alias("position"))
 
 
+def numbered(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
+    """``df`` with the number, from 1, of each row in its ``group`` by ``order``, where a group may hold most rows.
+
+    Rows are range-partitioned and sorted, so a group spreads over partitions; the number is the place in the
+    partition plus the rows of the group in those before (one row a partition and group, and no more, is counted up).
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, group, *order).sortWithinPartitions(group, *order)
+    kept = materialize(ranged.withColumn("_at", F.monotonically_increasing_id()), "numbered").withColumn("_part", F.shiftright("_at", 33))
+    runs = kept.groupBy("_part", group).agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first"))
+    before = F.coalesce(F.sum("_rows").over(Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = runs.select(F.col("_part").alias("_p"), F.col(group).alias("_g"), "_first", before.alias("_before"))
+    both = kept.join(runs, (F.col("_part") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_g")))
+    return both.select(*df.columns, (F.col("_at") - F.col("_first") + F.col("_before") + 1).cast("long").alias(name))
+
+
 def ordered_concat(value: Column, sep: str, *order: Column) -> Column:
     """An aggregate: the values in order, joined; nulls are left out.
 

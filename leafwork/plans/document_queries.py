@@ -11,26 +11,27 @@ from pyspark.sql import functions as F
 
 from leafwork.functions import text as T
 from leafwork.operators import measure, pages, placement, registry, rendering, routing, units
-from leafwork.runtime import table
+from leafwork.runtime import materialize, table
 
 WIDTH, HEIGHT = 500.0, 630.0
 
 
 # --- tables as the operators take them ------------------------------------------------------------
 def _decks(s: SparkSession, d: str) -> DataFrame:
-    return units.latest(table(s, d, "decks"), ["doc_id"], "scanned_at")
+    return units.latest(table(s, d, "decks"), ["doc_id"], "scanned_at", ["filename", "data_type", "number_of_pages"])
 
 
 def _units(s, d):
     return units.units(table(s, d, "page_units"))
 
 
-def _images(s, d):
-    return units.latest(table(s, d, "images").drop("described_at"), ["doc_id", "image_id"], "loaded_at").withColumnRenamed("kind", "image_kind")
+def _images(s, d, *columns):
+    """The latest delivery of each picture with the columns named, and no other is read."""
+    return units.latest(table(s, d, "images").withColumnRenamed("kind", "image_kind"), ["doc_id", "image_id"], "loaded_at", list(columns))
 
 
-def _kids(s, d):
-    return units.latest(table(s, d, "layout_kids").drop("exported_at"), ["doc_id", "id"], "loaded_at")
+def _kids(s, d, *columns):
+    return units.latest(table(s, d, "layout_kids"), ["doc_id", "id"], "loaded_at", list(columns))
 
 
 def _blocks(s, d):
@@ -39,28 +40,34 @@ def _blocks(s, d):
 
 def _boxes(s, d):
     """layout_kids with whole-number boxes, y downward; elements without a full box have none."""
-    k = _kids(s, d)
+    k = _kids(s, d, "type", "level", "content", "page_number", "bounding_box")
     at = lambda i: F.floor(F.get("bounding_box", F.lit(i))).cast("long")
     return k.select("doc_id", "id", "type", "level", "content", "page_number", at(0).alias("bx0"), at(1).alias("by0"), at(2).alias("bx1"), at(3).alias("by1"))
 
 
-def _pictures(s, d):
+def _elements(s, d):
+    """What the page geometry needs of layout_kids, de-duplicated once and written: narrow rows, y downward."""
+    b = _boxes(s, d).where("page_number IS NOT NULL")
+    text = F.when((F.coalesce("type", F.lit("")) != "image") & T.non_empty("content"), T.stripped_lines("content"))
+    return materialize(b.select("doc_id", F.col("page_number").alias("page"), "id", text.alias("text"), "bx0", "by0", "bx1", "by1"), "elements")
+
+
+def _pictures_of(elements):
     """Every element with a full box as a picture, y downward, on a coarse grid so that edges meet; idx is the order in the page."""
     from pyspark.sql import Window
 
-    b = _boxes(s, d).where("page_number IS NOT NULL AND bx0 IS NOT NULL AND by0 IS NOT NULL AND bx1 IS NOT NULL AND by1 IS NOT NULL")
+    b = elements.where("bx0 IS NOT NULL AND by0 IS NOT NULL AND bx1 IS NOT NULL AND by1 IS NOT NULL")
     b = b.withColumns({"bx0": F.col("bx0") - F.col("bx0") % 100, "by0": F.col("by0") - F.col("by0") % 63, "bx1": F.col("bx1") - F.col("bx1") % 100, "by1": F.col("by1") - F.col("by1") % 63 + 63})
-    idx = F.row_number().over(Window.partitionBy("doc_id", "page_number").orderBy("id")) - 1
-    return b.select("doc_id", F.col("page_number").alias("page"), idx.alias("idx"), F.col("bx0").cast("double").alias("x0"), (F.lit(HEIGHT) - F.col("by1")).alias("y0"), F.col("bx1").cast("double").alias("x1"), (F.lit(HEIGHT) - F.col("by0")).alias("y1"), (F.col("bx1") - F.col("bx0")).alias("w"), ((F.col("by1") - F.col("by0")) * 3).alias("h"))
-
+    idx = F.row_number().over(Window.partitionBy("doc_id", "page").orderBy("id")) - 1
+    return b.select("doc_id", "page", idx.alias("idx"), F.col("bx0").cast("double").alias("x0"), (F.lit(HEIGHT) - F.col("by1")).alias("y0"), F.col("bx1").cast("double").alias("x1"), (F.lit(HEIGHT) - F.col("by0")).alias("y1"), (F.col("bx1") - F.col("bx0")).alias("w"), ((F.col("by1") - F.col("by0")) * 3).alias("h"))
 
-def _geometry_pages(s, d):
-    return _kids(s, d).where("page_number IS NOT NULL").select("doc_id", F.col("page_number").alias("page")).distinct().select("doc_id", "page", F.lit(WIDTH).alias("width"), F.lit(HEIGHT).alias("height"))
 
-
-def _geometry_texts(s, d):
-    k = _boxes(s, d).where("page_number IS NOT NULL AND coalesce(type, '') <> 'image'").where(T.non_empty("content"))
-    return k.select("doc_id", F.col("page_number").alias("page"), F.col("id").alias("idx"), F.coalesce(F.col("bx0"), F.lit(0)).cast("double").alias("x0"), (F.lit(HEIGHT) - F.coalesce("by1", F.lit(0))).alias("y0"), T.stripped_lines("content").alias("text"))
+def _geometry(s, d):
+    """(pages, texts, pictures), all from one written table; the numbered pictures are written too, as three joins read them."""
+    e = _elements(s, d)
+    pages_ = e.select("doc_id", "page").distinct().select("doc_id", "page", F.lit(WIDTH).alias("width"), F.lit(HEIGHT).alias("height"))
+    texts = e.where("text IS NOT NULL").select("doc_id", "page", F.col("id").alias("idx"), F.coalesce(F.col("bx0"), F.lit(0)).cast("double").alias("x0"), (F.lit(HEIGHT) - F.coalesce("by1", F.lit(0))).alias("y0"), "text")
+    return pages_, texts, materialize(_pictures_of(e), "pictures")
 
 
 _STRIP = r"regexp_replace(regexp_replace({0}, '^[\s\x1c-\x1f\x85\p{{Z}}]+', ''), '[\s\x1c-\x1f\x85\p{{Z}}]+$', '')"
@@ -141,12 +148,14 @@ def xml_attr(s, d):
 
 @_add(f"WITH {SQL_IMAGES} SELECT doc_id, image_id, CAST(octet_length(blob) AS BIGINT) AS n_bytes, sha256(blob) AS sha256, sha1(blob) AS sha1, sha256(blob) = digest AS matches FROM pics")
 def image_metadata(s, d):
-    return _images(s, d).select("doc_id", "image_id", F.octet_length("blob").cast("long").alias("n_bytes"), F.sha2("blob", 256).alias("sha256"), F.sha1("blob").alias("sha1"), (F.sha2("blob", 256) == F.col("digest")).alias("matches"))
+    facts = table(s, d, "images").select("doc_id", "image_id", "loaded_at", F.octet_length("blob").cast("long").alias("n_bytes"), F.sha2("blob", 256).alias("sha256"), F.sha1("blob").alias("sha1"), "digest")
+    one = units.latest(facts, ["doc_id", "image_id"], "loaded_at", ["n_bytes", "sha256", "sha1", "digest"])  # the pictures themselves aren't shuffled
+    return one.select("doc_id", "image_id", "n_bytes", "sha256", "sha1", (F.col("sha256") == F.col("digest")).alias("matches"))
 
 
 @_add(f"WITH {SQL_IMAGES} SELECT doc_id, image_id, 'data:image/' || CASE WHEN lower(ext) IN ('jpg', 'jpeg') THEN 'jpeg' WHEN lower(ext) IN ('png', 'gif', 'webp') THEN lower(ext) ELSE 'png' END || ';base64,' || base64(blob) AS url FROM pics")
 def data_url(s, d):
-    return _images(s, d).select("doc_id", "image_id", T.data_url("blob", "ext").alias("url"))
+    return _images(s, d, "blob", "ext").select("doc_id", "image_id", T.data_url("blob", "ext").alias("url"))
 
 
 @_add("SELECT layout_id, regexp_extract(raw, '\"file name\": *\"([^\"]*)\"', 1) AS file_name FROM layout_json")
@@ -164,7 +173,7 @@ def read_layout_json(s, d):
 @_add(f"WITH {SQL_IMAGES} SELECT ext, count(*) AS pictures, count(*) FILTER ('image/' || ext IN ('image/png', 'image/jpeg', 'image/jpg', 'image/gif', 'image/webp', 'image/bmp')) AS kept, count(*) FILTER (NOT coalesce('image/' || ext IN ('image/png', 'image/jpeg', 'image/jpg', 'image/gif', 'image/webp', 'image/bmp'), false)) AS skipped FROM pics GROUP BY ext")
 def mime_filter(s, d):
     known = T.ext_from_mime(F.concat(F.lit("image/"), "ext")).isNotNull()
-    return _images(s, d).groupBy("ext").agg(F.count(F.lit(1)).alias("pictures"), F.count_if(known).alias("kept"), F.count_if(~known).alias("skipped"))
+    return _images(s, d, "ext").groupBy("ext").agg(F.count(F.lit(1)).alias("pictures"), F.count_if(known).alias("kept"), F.count_if(~known).alias("skipped"))
 
 
 # --- text ---------------------------------------------------------------------------------------------
@@ -185,17 +194,17 @@ def block_text(s, d):
 
 @_add(f"WITH {SQL_KIDS} SELECT doc_id, id, CAST(least(60, coalesce(len(list_filter(regexp_split_to_array(content, '[\\s\\p{{Z}}\\x1c-\\x1f\\x85]+'), lambda w: w <> '')), 0)) AS INT) AS words FROM kids")
 def capped_word_count(s, d):
-    return _kids(s, d).select("doc_id", "id", T.capped_word_count("content").alias("words"))
+    return _kids(s, d, "content").select("doc_id", "id", T.capped_word_count("content").alias("words"))
 
 
 @_add(f"WITH {SQL_KIDS} SELECT doc_id, id, CASE WHEN level IS NULL THEN 8 WHEN upper(level) LIKE '%SUBTITLE%' THEN 12 WHEN upper(level) LIKE '%TITLE%' THEN 15 WHEN upper(level) LIKE '%BODY%' OR upper(level) LIKE '%OBJECT%' THEN 10 WHEN upper(level) LIKE '%FOOTER%' OR upper(level) LIKE '%SLIDE_NUMBER%' OR upper(level) LIKE '%DATE%' THEN 0 ELSE 8 END AS weight_tenths FROM kids")
 def text_weight(s, d):
-    return _kids(s, d).select("doc_id", "id", T.weight_tenths("level").alias("weight_tenths"))
+    return _kids(s, d, "level").select("doc_id", "id", T.weight_tenths("level").alias("weight_tenths"))
 
 
 @_add(f"WITH {SQL_IMAGES} SELECT doc_id, image_id, CASE WHEN description IS NULL OR description = '' THEN '(no description)' ELSE description END AS description FROM pics")
 def default_text(s, d):
-    return _images(s, d).select("doc_id", "image_id", T.or_default("description", "(no description)").alias("description"))
+    return _images(s, d, "description").select("doc_id", "image_id", T.or_default("description", "(no description)").alias("description"))
 
 
 _SQL_WORDS = "list_sort(list_distinct(list_filter(list_transform(regexp_extract_all({0}, '[a-zA-Z]{{3,}}'), lambda w: lower(w)), lambda w: w NOT IN (" + ", ".join(f"'{w}'" for w in T.STOP_WORDS) + "))))"
@@ -203,16 +212,16 @@ _SQL_WORDS = "list_sort(list_distinct(list_filter(list_transform(regexp_extract_
 
 @_add(f"WITH {SQL_IMAGES} SELECT doc_id, image_id, array_to_string({_SQL_WORDS.format('description')}, ' ') AS words FROM pics")
 def word_set(s, d):
-    return _images(s, d).select("doc_id", "image_id", F.array_join(T.word_set("description"), " ").alias("words"))
+    return _images(s, d, "description").select("doc_id", "image_id", F.array_join(T.word_set("description"), " ").alias("words"))
 
 
 @_add(f"WITH {SQL_IMAGES} SELECT doc_id, image_id, array_to_string(list_sort(list_distinct(regexp_extract_all(description, '\\d+(?:\\.\\d+)?'))), ' ') AS numbers FROM pics")
 def number_set(s, d):
-    return _images(s, d).select("doc_id", "image_id", F.array_join(T.number_set("description"), " ").alias("numbers"))
+    return _images(s, d, "description").select("doc_id", "image_id", F.array_join(T.number_set("description"), " ").alias("numbers"))
 
 
 def _recall(s, d, of):
-    reference = measure.tokens(_kids(s, d).select("doc_id", "content"), ["doc_id"], of("content"))
+    reference = measure.tokens(_kids(s, d, "content").select("doc_id", "content"), ["doc_id"], of("content"))
     output = measure.tokens(_blocks(s, d).where("kind = 'text'").select("doc_id", "text"), ["doc_id"], of("text"))
     return measure.recall(reference, output, ["doc_id"])
 
@@ -236,7 +245,7 @@ _CELLS = f"list_filter(list_transform(string_split(content, chr(10)), lambda row
 
 @_add(f"WITH {SQL_KIDS} SELECT doc_id, id, nullif(array_to_string(list_transform({_CELLS}, lambda row: array_to_string(row, ' | ')), chr(10)), '') AS table_text FROM kids WHERE content LIKE '%|%'")
 def table_rows(s, d):
-    return _kids(s, d).where(F.col("content").contains("|")).select("doc_id", "id", T.table_text("content").alias("table_text"))
+    return _kids(s, d, "content").where(F.col("content").contains("|")).select("doc_id", "id", T.table_text("content").alias("table_text"))
 
 
 # --- units and reading order -----------------------------------------------------------------------------
@@ -267,12 +276,12 @@ def ordered_page_text(s, d):
 @_add(f"WITH {SQL_KIDS} SELECT doc_id, page_number, string_agg({_strip('content')}, chr(10) || chr(10) ORDER BY id) AS body FROM kids WHERE {_strip('content')} <> '' GROUP BY doc_id, page_number")
 def slide_text_extract(s, d):
     """In the order of the file, not of the page."""
-    return _kids(s, d).where(T.non_empty("content")).groupBy("doc_id", "page_number").agg(units.ordered_concat(T.strip("content"), "\n\n", F.col("id")).alias("body"))
+    return _kids(s, d, "page_number", "content").where(T.non_empty("content")).groupBy("doc_id", "page_number").agg(units.ordered_concat(T.strip("content"), "\n\n", F.col("id")).alias("body"))
 
 
 @_add(f"WITH {SQL_KIDS}, b AS (SELECT doc_id, page_number, id, 0 AS last, {_strip('content')} AS part FROM kids WHERE coalesce(type, '') <> 'caption' AND {_strip('content')} <> '' UNION ALL SELECT doc_id, page_number, id, 1, '**Speaker notes:** ' || {_strip('content')} FROM kids WHERE type = 'caption' AND {_strip('content')} <> '') SELECT doc_id, page_number, string_agg(part, chr(10) || chr(10) ORDER BY last, id) AS body FROM b GROUP BY doc_id, page_number")
 def blocks_with_notes(s, d):
-    k = _kids(s, d).where(T.non_empty("content"))
+    k = _kids(s, d, "page_number", "type", "content").where(T.non_empty("content"))
     note = F.coalesce(F.col("type") == "caption", F.lit(False))
     part = F.when(note, F.concat(F.lit("**Speaker notes:** "), T.strip("content"))).otherwise(T.strip("content"))
     return k.groupBy("doc_id", "page_number").agg(units.ordered_concat(part, "\n\n", note, F.col("id")).alias("body"))
@@ -280,7 +289,7 @@ def blocks_with_notes(s, d):
 
 @_add(f"WITH {SQL_KIDS} SELECT c.doc_id, c.id AS caption_id, i.id AS image_id, c.content AS caption, i.source FROM kids c JOIN kids i ON i.doc_id = c.doc_id AND i.id = c.linked_content_id WHERE c.type = 'caption'")
 def caption_link(s, d):
-    k = _kids(s, d)
+    k = _kids(s, d, "type", "linked_content_id", "content", "source")
     caption = k.where("type = 'caption'").select("doc_id", F.col("id").alias("caption_id"), F.col("linked_content_id").alias("image_id"), F.col("content").alias("caption"))
     return caption.join(k.select("doc_id", F.col("id").alias("image_id"), "source"), ["doc_id", "image_id"]).select("doc_id", "caption_id", "image_id", "caption", "source")
 
@@ -299,7 +308,7 @@ SQL_REGISTERED = SQL_PLACED + ", seen AS (SELECT *, min((number, pos)) OVER (PAR
 
 
 def _placed(s, d):
-    return _blocks(s, d).where("kind = 'image'").select("doc_id", "number", "pos", F.col("image_id").alias("old_id")).join(_images(s, d).select("doc_id", F.col("image_id").alias("old_id"), "digest", "ext", "image_kind"), ["doc_id", "old_id"])
+    return _blocks(s, d).where("kind = 'image'").select("doc_id", "number", "pos", F.col("image_id").alias("old_id")).join(_images(s, d, "digest", "ext", "image_kind").select("doc_id", F.col("image_id").alias("old_id"), "digest", "ext", "image_kind"), ["doc_id", "old_id"])
 
 
 def _registered(s, d):
@@ -324,13 +333,13 @@ def parse_stats(s, d):
 @_add(f"WITH {SQL_IMAGES}, o AS (SELECT *, (coalesce(try_cast(size_bytes AS INT), 0), image_id) AS seq FROM pics), f AS (SELECT *, min(seq) OVER (PARTITION BY doc_id, digest) AS first FROM o) SELECT doc_id, image_id AS old_id, CASE WHEN digest IS NOT NULL THEN dense_rank() OVER (PARTITION BY doc_id, digest IS NULL ORDER BY first) END AS image_id FROM f")
 def register_in_deck_order(s, d):
     """By an index of its own (here the size; a missing one is 0), then by arrival."""
-    p = _images(s, d).select("doc_id", F.col("image_id").alias("old_id"), "digest", F.coalesce(F.expr("try_cast(size_bytes AS int)"), F.lit(0)).alias("at"))
+    p = _images(s, d, "digest", "size_bytes").select("doc_id", F.col("image_id").alias("old_id"), "digest", F.coalesce(F.expr("try_cast(size_bytes AS int)"), F.lit(0)).alias("at"))
     return registry.register(p, "doc_id", "digest", "at", "old_id").select("doc_id", "old_id", "image_id")
 
 
 @_add(f"WITH {SQL_BLOCKS}, {SQL_IMAGES} SELECT b.doc_id, b.number, b.pos, CASE WHEN b.kind = 'text' THEN b.text ELSE coalesce(nullif(p.description, ''), '(no description)') END AS part FROM blocks b LEFT JOIN pics p ON p.doc_id = b.doc_id AND p.image_id = b.image_id")
 def splice_descriptions(s, d):
-    spliced = rendering.splice(_blocks(s, d), _images(s, d), ["description"])
+    spliced = rendering.splice(_blocks(s, d), _images(s, d, "description"), ["description"])
     return spliced.select("doc_id", "number", "pos", F.when(F.col("kind") == "text", F.col("text")).otherwise(T.or_default("description", "(no description)")).alias("part"))
 
 
@@ -399,12 +408,8 @@ def render_benchmark_md(s, d):
 
 
 # --- page geometry ------------------------------------------------------------------------------------------------
-def _geometry(s, d):
-    return _geometry_pages(s, d), _geometry_texts(s, d), _pictures(s, d)
-
-
-def _pairs(s, d):
-    p, t, i = _geometry(s, d)
+def _pairs(geometry):
+    p, t, i = geometry
     plain = pages.classify(p, t, i).where(~F.col("scanned")).select("doc_id", "page")
     return pages.split_pairs(i.join(plain, ["doc_id", "page"]), p)
 
@@ -417,33 +422,36 @@ def page_classify(s, d):
 @_add(f"WITH {SQL_PICTURES} SELECT doc_id, page, idx, NOT (w > 0 AND h > 0 AND least(w, h) < 150) AS kept FROM pictures")
 def min_dim_filter(s, d):
     """Pictures with an unknown side stay."""
-    return _pictures(s, d).select("doc_id", "page", "idx", (~((F.col("w") > 0) & (F.col("h") > 0) & (F.least("w", "h") < 150))).alias("kept"))
+    return _geometry(s, d)[2].select("doc_id", "page", "idx", (~((F.col("w") > 0) & (F.col("h") > 0) & (F.least("w", "h") < 150))).alias("kept"))
 
 
 @_add(f"WITH RECURSIVE {SQL_KEPT} SELECT x.doc_id, x.page, x.idx FROM pictures x LEFT JOIN ends e USING (doc_id, page, idx) WHERE e.doc_id IS NULL AND least(x.w, x.h) >= 64")
 def pdf_figure_filter(s, d):
     """Small figures are dropped only after the halves of split ones are taken."""
-    return pages.unconsumed(_pictures(s, d), pages.consume(_pairs(s, d))).where(F.least("w", "h") >= 64).select("doc_id", "page", "idx")
+    g = _geometry(s, d)
+    return pages.unconsumed(g[2], pages.consume(_pairs(g))).where(F.least("w", "h") >= 64).select("doc_id", "page", "idx")
 
 
 @_add(f"WITH {SQL_PAIRS} SELECT doc_id, n, i, m, j FROM pairs")
 def split_pairs(s, d):
-    return _pairs(s, d)
+    return _pairs(_geometry(s, d))
 
 
 @_add(f"WITH RECURSIVE {SQL_KEPT} SELECT doc_id, n, i, m, j FROM kept")
 def split_consume(s, d):
-    return pages.consume(_pairs(s, d))
+    return pages.consume(_pairs(_geometry(s, d)))
 
 
 @_add(f"WITH RECURSIVE {SQL_KEPT} SELECT x.doc_id, x.page, x.idx FROM pictures x LEFT JOIN ends e USING (doc_id, page, idx) WHERE e.doc_id IS NULL")
 def unconsumed_images(s, d):
-    return pages.unconsumed(_pictures(s, d), pages.consume(_pairs(s, d))).select("doc_id", "page", "idx")
+    g = _geometry(s, d)
+    return pages.unconsumed(g[2], pages.consume(_pairs(g))).select("doc_id", "page", "idx")
 
 
 @_add(f"WITH RECURSIVE {SQL_STITCHED} SELECT doc_id, page, idx, m, j, x0, y0, w, h FROM stitched")
 def stitched_size(s, d):
-    return pages.stitched(_pictures(s, d), pages.consume(_pairs(s, d)))
+    g = _geometry(s, d)
+    return pages.stitched(g[2], pages.consume(_pairs(g)))
 
 
 @_add(f"WITH RECURSIVE {SQL_STITCHED}, items AS (SELECT doc_id, page, y0, x0, 0 AS o, idx, 'text' AS kind FROM gtexts UNION ALL SELECT x.doc_id, x.page, x.y0, x.x0, 1, x.idx, 'figure' FROM pictures x LEFT JOIN ends e USING (doc_id, page, idx) WHERE e.doc_id IS NULL AND least(x.w, x.h) >= 64 UNION ALL SELECT doc_id, page, y0, x0, 2, idx, 'stitched' FROM stitched), every AS (SELECT i.* FROM items i JOIN classified c USING (doc_id, page) WHERE NOT (c.scanned OR c.empty) UNION ALL SELECT doc_id, page, 0, 0, 0, 0, 'page' FROM classified WHERE scanned OR empty) SELECT doc_id, page, row_number() OVER (PARTITION BY doc_id, page ORDER BY y0, x0, o, idx) AS pos, kind, CAST(idx AS BIGINT) AS ref FROM every")
@@ -454,7 +462,7 @@ def build_pages(s, d):
 # --- placement -----------------------------------------------------------------------------------------------------
 def _figures(s, d):
     reply = F.expr("CASE WHEN try_cast(size_bytes AS int) % 5 = 0 THEN NULL ELSE try_cast(size_bytes AS int) % 12 END")
-    return _images(s, d).select("doc_id", F.col("image_id").alias("figure"), reply.alias("reply"), "description")
+    return _images(s, d, "size_bytes", "description").select("doc_id", F.col("image_id").alias("figure"), reply.alias("reply"), "description")
 
 
 _SQL_FIGURES = SQL_IMAGES + ", figures AS (SELECT doc_id, image_id AS figure, CASE WHEN try_cast(size_bytes AS INT) % 5 = 0 THEN NULL ELSE try_cast(size_bytes AS INT) % 12 END AS reply, description FROM pics)"
@@ -484,7 +492,7 @@ def _sql_rendered(part: str, heading: str, sep: str, empty: str = "NULL") -> str
 
 def _bodies(s, d, part, heading, sep=rendering.BLANK, empty=None):
     u = _units(s, d)
-    spliced = rendering.splice(units.blocks(u), _images(s, d), ["description", "digest", "size_bytes", "image_kind"])
+    spliced = rendering.splice(units.blocks(u), _images(s, d, "description", "digest", "size_bytes", "image_kind"), ["description", "digest", "size_bytes", "image_kind"])
     return rendering.document_texts(rendering.unit_texts(u.select("doc_id", "number"), spliced.select("doc_id", "number", "pos", part.alias("part")), heading, empty), sep)
 
 
@@ -520,16 +528,14 @@ def render_placeholder_md(s, d):
 @_add(f"WITH {_sql_rendered(_DECK_PART, chr(39) + 'Slide ' + chr(39) + ' || u.number', _NN)}, {SQL_DECKS} SELECT doc_id, data_type, CAST(row_number() OVER (PARTITION BY data_type ORDER BY filename, doc_id) AS BIGINT) AS index, length(body) AS n_chars FROM bodies JOIN deck USING (doc_id)")
 def document_collection(s, d):
     """The place of each document in its collection (here one for each data type) and the length of its body."""
-    from pyspark.sql import Window
-
     bodies = _bodies(s, d, rendering.deck_part(), F.concat(F.lit("Slide "), F.col("number").cast("string")))
-    index = F.row_number().over(Window.partitionBy("data_type").orderBy("filename", "doc_id")).cast("long")
-    return bodies.join(_decks(s, d), "doc_id").select("doc_id", "data_type", index.alias("index"), F.length("body").cast("long").alias("n_chars"))
+    sized = bodies.select("doc_id", F.length("body").cast("long").alias("n_chars")).join(_decks(s, d), "doc_id")
+    return units.numbered(sized, "data_type", ["filename", "doc_id"], "index").select("doc_id", "data_type", "index", "n_chars")
 
 
 @_add(f"WITH {SQL_KIDS}, n AS (SELECT *, sum(CASE WHEN type = 'image' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY id ROWS UNBOUNDED PRECEDING) AS k FROM kids), l AS (SELECT doc_id, id, CASE WHEN type = 'image' THEN '![image ' || k || '](<' || coalesce(source, '') || '>)' WHEN type = 'heading' AND {_strip('content')} <> '' THEN repeat('#', coalesce(heading_level, 1)) || ' ' || content WHEN {_strip('content')} <> '' THEN content END AS line FROM n) SELECT doc_id, coalesce(string_agg(line, {_NN} ORDER BY id), '') || {_N} AS markdown FROM l GROUP BY doc_id")
 def layout_json_to_md(s, d):
-    return rendering.layout_markdown(_kids(s, d), "id")
+    return rendering.layout_markdown(_kids(s, d, "type", "content", "heading_level", "source"), "id")
 
 
 # --- replies and usage -----------------------------------------------------------------------------------------------------
