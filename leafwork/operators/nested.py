@@ -52,7 +52,8 @@ def _parse_deep(text: str):
     root: list = []
     stack: list = [(root, None)]  # container, pending key
     pos, state = 0, "value"
-    while pos < len(text) and text[pos:].strip(" \t\n\r"):
+    end = len(text.rstrip(" \t\n\r"))
+    while pos < end:
         m = _TOKEN.match(text, pos)
         if not m:
             raise ValueError(pos)

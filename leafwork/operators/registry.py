@@ -30,6 +30,13 @@ def parse_stats(placements: DataFrame, doc: str, digest: str) -> DataFrame:
     return by.withColumn("deduped", F.col("refs") - F.col("unique_images"))
 
 
+def parse_log(units: DataFrame, placements: DataFrame, skipped: DataFrame, doc: str, digest: str) -> DataFrame:
+    """``doc, slides, refs, unique_images, deduped, skipped``: every document of ``units`` (one row a slide), with 0 where there is nothing."""
+    slides = units.groupBy(doc).agg(F.count(F.lit(1)).alias("slides"))
+    out = slides.join(parse_stats(placements, doc, digest), doc, "left").join(skipped.groupBy(doc).agg(F.count(F.lit(1)).alias("skipped")), doc, "left")
+    return out.fillna(0)
+
+
 def pixel_digest(blob: Column, decode=None) -> Column:
     """SHA-1 of the decoded picture, or of the raw bytes where there is no decoder or it fails.
 

@@ -39,9 +39,10 @@ def route(scored: DataFrame, slide_area: str, cfg: Config = DEFAULTS) -> DataFra
     return scored.withColumn("pic_fraction", F.coalesce(fraction, F.lit(0.0))).withColumn("route", kind)
 
 
-def deck_mode(routes: DataFrame, doc: str = "doc_id", mode: str = "auto", cfg: Config = DEFAULTS) -> DataFrame:
-    """``doc, n_slides, n_vision, vision_fraction, mode``: whole or routed."""
-    by = routes.groupBy(doc).agg(F.count(F.lit(1)).alias("n_slides"), F.count_if(F.col("route") == "vision").alias("n_vision"))
+def deck_mode(routes: DataFrame, doc: str = "doc_id", mode: str = "auto", cfg: Config = DEFAULTS, *, page: str = "page_number") -> DataFrame:
+    """``doc, n_slides, n_vision, vision_pages, vision_fraction, mode``: whole or routed; the pages (``page``) are sorted, null ones are left out."""
+    seen = F.col("route") == "vision"
+    by = routes.groupBy(doc).agg(F.count(F.lit(1)).alias("n_slides"), F.count_if(seen).alias("n_vision"), F.array_sort(F.collect_list(F.when(seen, F.col(page)))).alias("vision_pages"))
     by = by.withColumn("vision_fraction", F.col("n_vision") / F.col("n_slides"))
     whole = F.lit(mode == "whole") | (F.lit(mode == "auto") & (F.col("n_vision") > 0) & (F.col("vision_fraction") >= cfg.vision_deck_fraction))
     return by.withColumn("mode", F.when(whole, "whole").otherwise("routed"))

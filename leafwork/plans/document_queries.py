@@ -223,11 +223,11 @@ def number_set(s, d):
 def _recall(s, d, of):
     reference = measure.tokens(_kids(s, d, "content").select("doc_id", "content"), ["doc_id"], of("content"))
     output = measure.tokens(_blocks(s, d).where("kind = 'text'").select("doc_id", "text"), ["doc_id"], of("text"))
-    return measure.recall(reference, output, ["doc_id"])
+    return measure.recall(reference, output, ["doc_id"], every=table(s, d, "layout_kids").select("doc_id").distinct())
 
 
 def _sql_recall(tokens: str) -> str:
-    return f"WITH {SQL_BLOCKS}, {SQL_KIDS}, r AS (SELECT DISTINCT doc_id, unnest({tokens.format('content')}) AS t FROM kids), o AS (SELECT DISTINCT doc_id, unnest({tokens.format('text')}) AS t FROM blocks WHERE kind = 'text') SELECT r.doc_id, count(*) AS n_reference, count(o.t) AS n_found, 100.0::DOUBLE * count(o.t) / count(*) AS recall FROM r LEFT JOIN o ON r.doc_id = o.doc_id AND r.t = o.t GROUP BY r.doc_id"
+    return f"WITH {SQL_BLOCKS}, {SQL_KIDS}, r AS (SELECT DISTINCT doc_id, unnest({tokens.format('content')}) AS t FROM kids), o AS (SELECT DISTINCT doc_id, unnest({tokens.format('text')}) AS t FROM blocks WHERE kind = 'text') SELECT k.doc_id, count(r.t) AS n_reference, count(o.t) AS n_found, CASE WHEN count(r.t) > 0 THEN 100.0::DOUBLE * count(o.t) / count(r.t) ELSE 0.0::DOUBLE END AS recall FROM (SELECT DISTINCT doc_id FROM layout_kids) k LEFT JOIN r ON r.doc_id = k.doc_id LEFT JOIN o ON r.doc_id = o.doc_id AND r.t = o.t GROUP BY k.doc_id"
 
 
 @_add(_sql_recall(_SQL_WORDS))
@@ -330,6 +330,13 @@ def parse_stats(s, d):
     return registry.parse_stats(_placed(s, d), "doc_id", "digest")
 
 
+@_add(f"WITH {SQL_PLACED}, p AS (SELECT doc_id, count(digest) AS refs, count(DISTINCT digest) AS unique_images FROM placed GROUP BY doc_id), k AS (SELECT doc_id, count(*) AS skipped FROM pics WHERE NOT coalesce('image/' || ext IN ('image/png', 'image/jpeg', 'image/jpg', 'image/gif', 'image/webp', 'image/bmp'), false) GROUP BY doc_id) SELECT u.doc_id, count(*) AS slides, coalesce(any_value(p.refs), 0) AS refs, coalesce(any_value(p.unique_images), 0) AS unique_images, coalesce(any_value(p.refs) - any_value(p.unique_images), 0) AS deduped, coalesce(any_value(k.skipped), 0) AS skipped FROM units u LEFT JOIN p USING (doc_id) LEFT JOIN k USING (doc_id) GROUP BY u.doc_id")
+def parse_log(s, d):
+    """Slides, placements, pictures and skipped pictures (no raster type) of each document."""
+    unknown = _images(s, d, "ext").where(T.ext_from_mime(F.concat(F.lit("image/"), "ext")).isNull())
+    return registry.parse_log(_units(s, d), _placed(s, d), unknown, "doc_id", "digest")
+
+
 @_add(f"WITH {SQL_IMAGES}, o AS (SELECT *, (coalesce(try_cast(size_bytes AS INT), 0), image_id) AS seq FROM pics), f AS (SELECT *, min(seq) OVER (PARTITION BY doc_id, digest) AS first FROM o) SELECT doc_id, image_id AS old_id, CASE WHEN digest IS NOT NULL THEN dense_rank() OVER (PARTITION BY doc_id, digest IS NULL ORDER BY first) END AS image_id FROM f")
 def register_in_deck_order(s, d):
     """By an index of its own (here the size; a missing one is 0), then by arrival."""
@@ -365,9 +372,9 @@ def route_slide(s, d):
     return _routes(s, d)
 
 
-@_add(f"WITH {SQL_ROUTES} SELECT doc_id, count(*) AS n_slides, count(*) FILTER (route = 'vision') AS n_vision, count(*) FILTER (route = 'vision')::DOUBLE / count(*) AS vision_fraction, CASE WHEN count(*) FILTER (route = 'vision') > 0 AND count(*) FILTER (route = 'vision')::DOUBLE / count(*) >= 0.5 THEN 'whole' ELSE 'routed' END AS mode FROM routes GROUP BY doc_id")
+@_add(f"WITH {SQL_ROUTES} SELECT doc_id, count(*) AS n_slides, count(*) FILTER (route = 'vision') AS n_vision, coalesce(string_agg(page_number::VARCHAR, ',' ORDER BY page_number) FILTER (route = 'vision'), '') AS vision_pages, count(*) FILTER (route = 'vision')::DOUBLE / count(*) AS vision_fraction, CASE WHEN count(*) FILTER (route = 'vision') > 0 AND count(*) FILTER (route = 'vision')::DOUBLE / count(*) >= 0.5 THEN 'whole' ELSE 'routed' END AS mode FROM routes GROUP BY doc_id")
 def deck_mode(s, d):
-    return routing.deck_mode(_routes(s, d))
+    return routing.deck_mode(_routes(s, d)).withColumn("vision_pages", F.array_join(F.transform("vision_pages", lambda n: n.cast("string")), ","))
 
 
 _SQL_MERGED = (
@@ -554,10 +561,27 @@ def _calls(s, d):
     tokens_in = F.floor("value").cast("long")
     reply = F.concat(F.lit('{"prompt_tokens": '), tokens_in.cast("string"), F.lit(', "completion_tokens": '), F.get_json_object("props", "$.k"), F.lit("}"))
     n_in, n_out = measure.usage(reply)
-    return table(s, d, "events").select("event_id", "ts", F.col("event_type").alias("approach"), F.col("user_id").alias("trial"), n_in.alias("input_tokens"), n_out.alias("output_tokens"))
+    seconds = F.floor("value") % 90 / 1.0
+    return table(s, d, "events").select("event_id", "ts", F.col("event_type").alias("approach"), F.col("user_id").alias("trial"), n_in.alias("input_tokens"), n_out.alias("output_tokens"), seconds.alias("api_s"), (F.col("event_id") % 7 / 1.0).alias("render_s"))
+
 
+def _runs(s, d):
+    """A run of each approach and trial over a deck of as many slides as the trial's number modulo 40; seconds are whole."""
+    runs = measure.tally(_calls(s, d), ["approach", "trial"], ("input_tokens", "output_tokens", "api_s", "render_s"))
+    return runs.withColumn("wall_s", F.col("api_s") + F.col("render_s")).withColumn("n_slides", F.col("trial") % 40)
 
-_SQL_CALLS = "calls AS (SELECT event_id, ts, event_type AS approach, user_id AS trial, CAST(floor(value) AS BIGINT) AS input_tokens, coalesce(try_cast(json_extract_string(props, '$.k') AS BIGINT), 0) AS output_tokens FROM events), runs AS (SELECT approach, trial, count(*) AS n_calls, CAST(sum(coalesce(input_tokens, 0)) AS BIGINT) AS input_tokens, CAST(sum(output_tokens) AS BIGINT) AS output_tokens FROM calls GROUP BY 1, 2)"
+
+def _prices(s, d):
+    """A price list in the form the operator takes: a model and the prices of a million tokens."""
+    return table(s, d, "region").select(F.col("r_regionkey").cast("long").alias("model"), (F.col("r_regionkey") + 0.5).alias("input"), (F.col("r_regionkey") * 4 + 2.0).alias("output"))
+
+
+_SQL_CALLS = (
+    "calls AS (SELECT event_id, ts, event_type AS approach, user_id AS trial, CAST(floor(value) AS BIGINT) AS input_tokens, coalesce(try_cast(json_extract_string(props, '$.k') AS BIGINT), 0) AS output_tokens, CAST(CAST(floor(value) AS BIGINT) % 90 AS DOUBLE) AS api_s, CAST(event_id % 7 AS DOUBLE) AS render_s FROM events)"
+    ", runs AS (SELECT approach, trial, count(*) AS n_calls, CAST(sum(coalesce(input_tokens, 0)) AS BIGINT) AS input_tokens, CAST(sum(output_tokens) AS BIGINT) AS output_tokens, sum(coalesce(api_s, 0)) AS api_s, sum(render_s) AS render_s, sum(coalesce(api_s, 0)) + sum(render_s) AS wall_s, trial % 40 AS n_slides FROM calls GROUP BY 1, 2)"
+    ", prices AS (SELECT CAST(r_regionkey AS BIGINT) AS model, r_regionkey + 0.5::DOUBLE AS input, r_regionkey * 4 + 2.0::DOUBLE AS output FROM region)"
+    ", means AS (SELECT approach, arg_min(n_slides, trial) AS n_slides, count(*) AS trials, avg(n_calls) AS n_calls, avg(input_tokens) AS input_tokens, avg(output_tokens) AS output_tokens, avg(render_s) AS render_s, avg(api_s) AS api_s, avg(wall_s) AS wall_s FROM runs GROUP BY approach)"
+)
 
 
 @_add(f"WITH {_SQL_CALLS} SELECT event_id, coalesce(input_tokens, 0) AS input_tokens, output_tokens FROM calls")
@@ -565,21 +589,29 @@ def usage_of(s, d):
     return _calls(s, d).select("event_id", "input_tokens", "output_tokens")
 
 
-@_add(f"WITH {_SQL_CALLS} SELECT * FROM runs")
+@_add(f"WITH {_SQL_CALLS} SELECT approach, trial, n_calls, input_tokens, output_tokens FROM runs")
 def usage_tally(s, d):
     return measure.tally(_calls(s, d), ["approach", "trial"])
 
 
-@_add(f"WITH {_SQL_CALLS} SELECT approach, count(*) AS trials, avg(n_calls) AS n_calls, avg(input_tokens) AS input_tokens, avg(output_tokens) AS output_tokens FROM runs GROUP BY approach")
+@_add(f"WITH {_SQL_CALLS} SELECT * FROM means")
 def mean_stats(s, d):
-    return measure.mean_runs(usage_tally(s, d))
+    return measure.mean_runs(_runs(s, d))
+
+
+@_add(f"WITH {_SQL_CALLS} SELECT r.approach, r.trial, r.trial % 6 AS model, r.input_tokens / 1e6::DOUBLE * p.input + r.output_tokens / 1e6::DOUBLE * p.output AS cost FROM runs r LEFT JOIN prices p ON p.model = r.trial % 6")
+def cost_by_model(s, d):
+    """The cost of each run by its model; one of six isn't on the price list and has none."""
+    return measure.cost(_runs(s, d).withColumn("model", F.col("trial") % 6), _prices(s, d)).select("approach", "trial", "model", "cost")
 
 
 @_add(
-    f"WITH {_SQL_CALLS}, m AS (SELECT approach, avg(n_calls) AS c, avg(input_tokens) AS i, avg(output_tokens) AS o FROM runs GROUP BY approach), w AS (SELECT * FROM m WHERE approach = 'view'), r AS (SELECT * FROM m WHERE approach = 'click') SELECT r.c / greatest(w.c, 1.0) * 100.0 AS n_calls_pct, r.i / greatest(w.i, 1.0) * 100.0 AS input_tokens_pct, r.o / greatest(w.o, 1.0) * 100.0 AS output_tokens_pct FROM w, r"
+    f"WITH {_SQL_CALLS}, c AS (SELECT m.*, m.input_tokens / 1e6::DOUBLE * p.input + m.output_tokens / 1e6::DOUBLE * p.output AS cost FROM means m JOIN prices p ON p.model = 1), w AS (SELECT * FROM c WHERE approach = 'view'), r AS (SELECT * FROM c WHERE approach = 'click')"
+    " SELECT CASE WHEN r.cost <> 0 AND w.cost <> 0 THEN r.cost / w.cost * 100 END AS cost_pct, CASE WHEN r.cost <> 0 AND w.cost <> 0 THEN (1 - r.cost / w.cost) * 100 END AS saving_pct, r.input_tokens / greatest(w.input_tokens, 1.0::DOUBLE) * 100 AS input_tokens_pct, r.wall_s / greatest(w.wall_s, 1e-9::DOUBLE) * 100 AS wall_pct FROM w, r"
 )
 def compare_runs(s, d):
-    return measure.compare(mean_stats(s, d), "view", "click")
+    priced = measure.cost(mean_stats(s, d).withColumn("model", F.lit(1).cast("long")), _prices(s, d))
+    return measure.compare(priced, "view", "click")
 
 
 @_add("SELECT event_type AS approach, arg_max(props, (ts, event_id)) AS last_reply FROM events GROUP BY event_type")

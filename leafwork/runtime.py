@@ -6,6 +6,8 @@ import atexit
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,17 +80,33 @@ def lookup(df: DataFrame, written: DataFrame, key: str, salts: int = 16) -> Data
 _written: list[tuple[SparkSession, str]] = []
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    if path.startswith("file:") and os.path.isdir("/" + path[5:].lstrip("/")):
+        import shutil
+
+        shutil.rmtree("/" + path[5:].lstrip("/"), ignore_errors=True)
+    else:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def released() -> Iterator[None]:
+    """Tables written inside are deleted at the end: for work that recurs, such as the batches of a stream."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        mine = _written[before:]
+        del _written[before:]
+        for spark, path in mine:
+            _delete(spark, path)
+
+
 @atexit.register
 def _clean() -> None:
     for spark, path in _written:
         try:
-            if path.startswith("file://") and os.path.isdir(path[7:]):
-                import shutil
-
-                shutil.rmtree(path[7:], ignore_errors=True)
-            else:
-                jvm = spark.sparkContext._jvm
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # the session may be gone already
+            _delete(spark, path)
+        except Exception:  # the session may be gone already; local tables can still go
             continue

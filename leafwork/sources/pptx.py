@@ -62,6 +62,39 @@ def _box(e) -> tuple:
     return number(off, "y"), number(off, "x"), number(size, "cx"), number(size, "cy")
 
 
+def _holders(z: zipfile.ZipFile, part: str, known: dict) -> tuple[list, str | None]:
+    """The placeholders of a layout or master, as (type, index, box), and the part that it inherits from in turn."""
+    if part not in known:
+        try:
+            root, above = ET.fromstring(z.read(part)), next((t for t, kind in _relations(z, part).values() if kind == "slideMaster"), None)
+        except KeyError:
+            known[part] = ([], None)
+            return known[part]
+        found = [(ph.get("type", "obj"), ph.get("idx", "0"), _box(e)) for e in root.iter() if e.tag in (f"{_P}sp", f"{_P}pic", f"{_P}graphicFrame") for ph in e.iter(f"{_P}ph")]
+        known[part] = (found, above)
+    return known[part]
+
+
+#: What a placeholder's type is called on a master, where it is another.
+_ON_MASTER = {"ctrTitle": "title", "subTitle": "body", "obj": "body", "tbl": "body", "chart": "body", "pic": "body"}
+
+
+def _inherited(z: zipfile.ZipFile, layout: str | None, ph, known: dict) -> tuple:
+    """The box of a placeholder that has none of its own: the layout's of the same index, else type; then the master's of its type."""
+    kind, index = ph.get("type", "obj"), ph.get("idx", "0")
+    part = layout
+    for level in range(2):
+        if part is None:
+            break
+        found, above = _holders(z, part, known)
+        same = [b for k, i, b in found if i == index and (level == 0)] or [b for k, _, b in found if k == kind] or ([b for k, _, b in found if k == _ON_MASTER.get(kind)] if level else [])
+        box = next((b for b in same if b[0] is not None), None)
+        if box:
+            return box
+        part = above
+    return None, None, None, None
+
+
 def parse_deck(path: str, content: bytes, *, need_text: bool = True, need_images: bool = True) -> Iterator[tuple]:
     """The rows of one file, slides in the deck's order."""
     z = zipfile.ZipFile(io.BytesIO(content))
@@ -69,10 +102,11 @@ def parse_deck(path: str, content: bytes, *, need_text: bool = True, need_images
     root, relations = ET.fromstring(z.read(main)), _relations(z, main)
     size = root.find(f"{_P}sldSz")
     wide, high = (int(size.get("cx", 0)) or None, int(size.get("cy", 0)) or None) if size is not None else (None, None)
+    known: dict = {}
     for number, ref in enumerate(root.iter(f"{_P}sldId"), 1):
         part = relations[ref.get(f"{_R}id")][0]
         slide, rels = ET.fromstring(z.read(part)), _relations(z, part)
-        notes = None
+        notes, layout = None, next((t for t, kind in rels.values() if kind == "slideLayout"), None)
         for target, kind in rels.values():
             if kind == "notesSlide":
                 for sp in ET.fromstring(z.read(target)).iter(f"{_P}sp"):
@@ -93,6 +127,9 @@ def parse_deck(path: str, content: bytes, *, need_text: bool = True, need_images
                     stack.append((e, here, place))
                     continue
                 ph = next(e.iter(f"{_P}ph"), None)
+                if ph is not None and top is None:
+                    top, left, w, h = _inherited(z, layout, ph, known)
+                    here = (*above, {"top": top or 0, "left": left or 0, "ord": k})
                 body, table = e.find(f"{_P}txBody"), next(e.iter(f"{_A}tbl"), None)
                 own = e.tag == f"{_P}pic"
                 blip = next((b for b in e.iter(f"{_A}blip") if own or e.find(f"{_P}spPr/{_A}blipFill") is not None), None)
@@ -125,10 +162,34 @@ def parse_deck(path: str, content: bytes, *, need_text: bool = True, need_images
             yield path, number, None, None, None, None, None, None, None, None, None, None, None, None, notes, wide, high, None
 
 
+def files(spark: SparkSession, path: str, suffix: str = "pptx") -> DataFrame:
+    """``path, content`` of every file below ``path`` with the suffix in any case."""
+    anyhow = "".join(f"[{c}{c.upper()}]" for c in suffix)
+    return spark.read.format("binaryFile").option("pathGlobFilter", f"*.{anyhow}").option("recursiveFileLookup", "true").load(path).select("path", "content")
+
+
 def scan(spark: SparkSession, path: str, *, need_text: bool = True, need_images: bool = True) -> DataFrame:
     """Every .pptx below ``path`` as SHAPES; what isn't needed isn't read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][pP][tT][xX]").option("recursiveFileLookup", "true").load(path)
-    return shapes(files.select("path", "content"), need_text=need_text, need_images=need_images)
+    return shapes(files(spark, path), need_text=need_text, need_images=need_images)
+
+
+def slide_counts(decks: DataFrame) -> DataFrame:
+    """``path, n_slides`` from the list of slides alone: no slide is parsed; null for files that can't be read."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pandas as pd
+
+        for batch in batches:
+            out = []
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                try:
+                    root = ET.fromstring(zipfile.ZipFile(io.BytesIO(bytes(content))).read("ppt/presentation.xml"))
+                    out.append((path, sum(1 for _ in root.iter(f"{_P}sldId"))))
+                except Exception:
+                    out.append((path, None))
+            yield pd.DataFrame(out, columns=["path", "n_slides"]).astype({"n_slides": "Int64"})
+
+    return decks.select("path", "content").mapInPandas(run, "path string, n_slides bigint")
 
 
 def shapes(files: DataFrame, *, need_text: bool = True, need_images: bool = True) -> DataFrame:

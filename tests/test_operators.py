@@ -45,7 +45,7 @@ def test_route_boundaries(spark):
     df = spark.createDataFrame([(k, t, p, g, 0.0 if k == "i" else 100.0) for k, t, p, g in data], "k string, text_score double, pic_area bigint, graphic_shapes bigint, area double")
     assert {r.k: r.route for r in routing.route(df, "area").collect()} == {"a": "vision", "b": "text", "c": "text", "d": "vision", "e": "text", "f": "text", "g": "vision", "h": "text", "i": "text"}
     routes = spark.createDataFrame([("x", "vision"), ("x", "text"), ("y", "text"), ("z", "vision"), ("z", "text"), ("z", "text")], "doc_id string, route string")
-    assert {r.doc_id: r.mode for r in routing.deck_mode(routes).collect()} == {"x": "whole", "y": "routed", "z": "routed"}
+    assert {r.doc_id: r.mode for r in routing.deck_mode(routes, page="route").collect()} == {"x": "whole", "y": "routed", "z": "routed"}
 
 
 def test_placement_equals_sequential_rule(spark):
@@ -141,3 +141,30 @@ def test_recall_and_tallies(spark, rows):
     assert [x[0] for x in one.select(measure.recall_of(F.col("a"), F.col("b"))).collect()] == [0.0, 50.0]
     calls = spark.createDataFrame([("x", 1, None), ("x", 2, 3)], "approach string, input_tokens bigint, output_tokens bigint")
     assert rows(measure.tally(calls, ["approach"])) == [("x", 2, 3, 3)]
+
+
+def test_latest_does_not_hang_on_the_order_of_rows(spark):
+    data = [("k", None, "x", None), ("k", None, "y", "a"), ("k", None, "y", "b"), ("j", 2, "old", "z"), ("j", 3, "new", "c"), ("j", None, "none", "q"), (None, 1, "n", "n")]
+    for rows in (data, data[::-1]):
+        df = spark.createDataFrame(rows, "key string, at int, v string, w string")
+        assert {(r.key, r.v, r.w) for r in units.latest(df, ["key"], "at").collect()} == {("k", "y", "b"), ("j", "new", "c"), (None, "n", "n")}
+        assert units.latest(df, ["key"], "at", ["v"]).columns == ["key", "v"]
+
+
+def test_many_pairs_of_one_document_fold_in_one_pass(spark):
+    """A chain over 200,000 pages: every second pair is kept; two tops for one bottom: the first."""
+    from leafwork.operators import pages as P
+
+    chain = spark.range(200_000).selectExpr("'d' AS doc_id", "cast(id AS int) AS n", "0 AS i", "cast(id + 1 AS int) AS m", "0 AS j")
+    assert P.consume(chain).selectExpr("count(*)", "sum(n % 2)").first() == (100_000, 0)
+    df = spark.createDataFrame([("e", 1, 0, 2, 5), ("e", 1, 1, 2, 5), ("e", 2, 5, 3, 0), ("e", 3, 0, 4, 0), ("f", 2, 5, 3, 0), (None, 7, 0, 8, 0), (None, 8, 0, 9, 0)], "doc_id string, n int, i int, m int, j int")
+    assert {tuple(r) for r in P.consume(df).collect()} == {("e", 1, 0, 2, 5), ("e", 3, 0, 4, 0), ("f", 2, 5, 3, 0), (None, 7, 0, 8, 0)}
+
+
+def test_numbers_in_groups_of_any_size(spark):
+    df = spark.range(5000).selectExpr("if(id % 10 = 0, if(id % 20 = 0, 'b', cast(null AS string)), 'a') AS g", "cast(5000 - id AS string) AS v")
+    got = units.numbered(df, "g", ["v"], "n").collect()
+    for g in ("a", "b", None):
+        mine = sorted((r.v, r.n) for r in got if r.g == g)
+        assert [n for _, n in mine] == list(range(1, len(mine) + 1))
+    assert units.numbered(df.where("false"), "g", ["v"], "n").count() == 0

@@ -1,5 +1,7 @@
 import io
 import os
+
+import pytest
 import zipfile
 
 from pyspark.sql import functions as F
@@ -68,10 +70,46 @@ def test_command_line_and_sinks(spark, tmp_path):
     (tmp_path / "in" / "deck.one.pptx").write_bytes(deck())
     assert main([str(tmp_path / "in"), str(tmp_path / "out" / "deep"), "--format", "md"]) == 0
     assert os.listdir(tmp_path / "out" / "deep") == ["deck.one.md"]
-    df = spark.createDataFrame([("../x.txt", "é\r\n"), ("n.txt", None)], "name string, body string")
-    assert sinks.write_files(df, str(tmp_path / "files"), "name", "body") == 1
-    assert (tmp_path / "files" / "x.txt").read_bytes() == "é\r\n".encode()
-    assert sinks.write_files(df.where("false"), str(tmp_path / "files"), "name", "body") == 0
+    df = spark.createDataFrame([("a/x.txt", "é\r\n"), ("b/x.txt", "two"), ("n.txt", None), ("e.txt", "")], "name string, body string")
+    for write, folder in ((sinks.write_files, str(tmp_path / "files")), (sinks.write_files, "file://" + str(tmp_path / "more"))):
+        assert write(df, folder, "name", "body") == 3
+        assert sinks.write_files(df.where("false"), folder, "name", "body") == 0
+    assert sinks._write_hadoop(df.where("body IS NOT NULL"), "file://" + str(tmp_path / "store")) == 3
+    for folder in ("files", "more", "store"):
+        assert (tmp_path / folder / "a" / "x.txt").read_bytes() == "é\r\n".encode() and (tmp_path / folder / "b" / "x.txt").read_bytes() == (b"two\n" if folder == "store" else b"two")
+    for bad in ([("../x.txt", "a")], [("/x.txt", "a")], [("x", "a"), ("x", "b")]):
+        with pytest.raises(ValueError):
+            sinks.write_files(spark.createDataFrame(bad, "name string, body string"), str(tmp_path / "bad"), "name", "body")
+    assert not (tmp_path / "bad").exists()
+
+
+def test_equal_names_in_two_folders(spark, tmp_path):
+    for d in ("a", "b"):
+        (tmp_path / "in" / d).mkdir(parents=True)
+        (tmp_path / "in" / d / "x.pptx").write_bytes(deck())
+    assert main([str(tmp_path / "in"), str(tmp_path / "out")]) == 0
+    assert sorted(str(f.relative_to(tmp_path / "out")) for f in (tmp_path / "out").rglob("*.xml")) == ["a/x.xml", "b/x.xml"]
+
+
+def test_stream_leaves_nothing(spark, tmp_path):
+    from leafwork import runtime
+
+    (tmp_path / "in").mkdir()
+    for k in range(10):
+        (tmp_path / "in" / f"{k}.pptx").write_bytes(deck())
+    before = list(runtime._written)
+    folder = runtime.shared_dir(spark).removeprefix("file://") + "/leafwork"
+    there = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    q = incoming.render_incoming(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state"), at_a_time=1)
+    q.awaitTermination()
+    assert len([d for d in os.listdir(tmp_path / "out") if d.startswith("batch=")]) == 10
+    assert runtime._written == before and set(os.listdir(folder)) <= there
+
+
+def test_slide_counts(spark):
+    df = spark.createDataFrame([("a.pptx", bytearray(deck())), ("b.pptx", bytearray(b"no zip"))], "path string, content binary")
+    got = {r.path: r.n_slides for r in pptx.slide_counts(df).collect()}
+    assert got["a.pptx"] >= 1 and got["b.pptx"] is None
 
 
 def test_stream(spark, tmp_path):
@@ -102,3 +140,23 @@ def test_backends():
         pass
     backends.register("svg", bytes)
     assert backends.get("svg") is bytes
+
+
+def test_inherited_places(spark):
+    """A placeholder without a place of its own stands where its layout puts it, else its master."""
+    ns = 'xmlns:a="http://schemas.openxmlformats.org/drawingml/2006/main" xmlns:p="http://schemas.openxmlformats.org/presentationml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    rel = lambda *pairs: '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">' + "".join(f'<Relationship Id="rId{k}" Type="http://x/{kind}" Target="{to}"/>' for k, (kind, to) in enumerate(pairs, 1)) + "</Relationships>"
+    box = lambda x, y: f'<p:spPr><a:xfrm><a:off x="{x}" y="{y}"/><a:ext cx="5" cy="6"/></a:xfrm></p:spPr>'
+    sp = lambda ph, place="<p:spPr/>", text="": f"<p:sp><p:nvSpPr><p:nvPr>{ph}</p:nvPr></p:nvSpPr>{place}<p:txBody><a:p><a:r><a:t>{text}</a:t></a:r></a:p></p:txBody></p:sp>"
+    page = lambda tag, *shapes: f"<p:{tag} {ns}><p:cSld><p:spTree>{''.join(shapes)}</p:spTree></p:cSld></p:{tag}>"
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        z.writestr("ppt/presentation.xml", f'<p:presentation {ns}><p:sldIdLst><p:sldId id="1" r:id="rId1"/></p:sldIdLst></p:presentation>')
+        z.writestr("ppt/_rels/presentation.xml.rels", rel(("slide", "slides/slide1.xml")))
+        z.writestr("ppt/slides/slide1.xml", page("sld", sp('<p:ph type="body" idx="3"/>', text="low"), sp('<p:ph type="ctrTitle"/>', text="high"), sp("", text="none"), sp('<p:ph idx="9"/>', box(1, 50), "own")))
+        z.writestr("ppt/slides/_rels/slide1.xml.rels", rel(("slideLayout", "../slideLayouts/l.xml")))
+        z.writestr("ppt/slideLayouts/l.xml", page("sldLayout", sp('<p:ph type="body" idx="3"/>', box(2, 90)), sp('<p:ph type="ctrTitle"/>')))
+        z.writestr("ppt/slideLayouts/_rels/l.xml.rels", rel(("slideMaster", "../slideMasters/m.xml")))
+        z.writestr("ppt/slideMasters/m.xml", page("sldMaster", sp('<p:ph type="title"/>', box(3, 10))))
+    got = {r[10]: (r[6], r[7], r[8], r[9]) for r in pptx.parse_deck("d", data.getvalue())}
+    assert got == {"low": (90, 2, 5, 6), "high": (10, 3, 5, 6), "none": (None, None, None, None), "own": (50, 1, 5, 6)}
