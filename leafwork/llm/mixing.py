@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import math
+import warnings
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
@@ -30,20 +31,26 @@ from leafwork.runtime import materialize
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The split pattern that belongs to byte-level vocabularies of this kind; a fixed value.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_BINS, _ROUNDS, _TOLERANCE, _STEPS = 4096, 3, 1e-10, 100
+_BINS, _ROUNDS, _TOLERANCE, _STEPS = 4096, 3, 1e-10, 400
+#: A vocabulary file is sent to the tasks; a larger one is refused.
+VOCABULARY_BYTES = 64 << 20
 
 
 def count_tokens(documents: DataFrame, keep: list[str], text: str = "text", *, tokenizer: str = TOKENIZER, pattern: str = PATTERN) -> DataFrame:
     """``keep`` and ``tokens``: the length of each whole text in tokens; 0 for null and empty texts."""
     schema = ", ".join([*(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in keep), "tokens bigint"])
+    with open(tokenizer, "rb") as f:  # read here, so executors need no copy of it
+        vocabulary = f.read(VOCABULARY_BYTES + 1)
+    if len(vocabulary) > VOCABULARY_BYTES:
+        raise ValueError("the vocabulary file is too large")
+    shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator) -> Iterator:
         import tiktoken
 
         made = tiktoken.__dict__.setdefault("_leafwork_made", {})  # stays in the worker from task to task
         if (tokenizer, pattern) not in made:
-            with open(tokenizer, "rb") as f:
-                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, shared.value.splitlines())}
             made[tokenizer, pattern] = tiktoken.Encoding("leafwork", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         encode = made[tokenizer, pattern].encode_ordinary
         for batch in batches:
@@ -102,6 +109,8 @@ def balance(sizes: DataFrame, goal: dict[str, float], mean: dict[str, float], ca
             if not low[s] < step < high[s]:  # also where the step isn't a number
                 step = lam[s] - 2.0 * max(1.0, abs(lam[s])) if low[s] == -math.inf else lam[s] + 2.0 * max(1.0, abs(lam[s])) if high[s] == math.inf else (low[s] + high[s]) / 2
             lam[s] = step
+    if open_:
+        warnings.warn(f"{len(open_)} sources haven't converged after {_STEPS} steps; shares() tells how near they came", RuntimeWarning, stacklevel=2)
     return lam
 
 
