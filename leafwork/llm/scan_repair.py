@@ -34,6 +34,7 @@ CONFUSIONS = (
     ("m", "rn"), ("rn", "m"), ("d", "cl"), ("cl", "d"), ("w", "vv"), ("u", "ii"), ("n", "ri"), ("h", "li"), ("li", "h"),
     ("e", "c"), ("c", "e"), ("h", "b"), ("b", "h"), ("t", "f"), ("f", "t"), ("i", "l"), ("l", "i"), ("l", "1"), ("i", "1"), ("o", "0"),
     ("s", "5"), ("b", "6"), ("g", "9"), ("z", "2"), ("fi", "ﬁ"), ("fl", "ﬂ"), ("g", "q"), ("b", "8"),
+    ("u", "v"), ("v", "u"), ("n", "u"), ("u", "n"),
 )
 _SEEN = {}
 for _true, _seen in CONFUSIONS:  # noqa: B007
@@ -227,7 +228,7 @@ def corrections(words: DataFrame, sample: list[tuple[str, int]]) -> DataFrame:
             rows, x = [], []
             for seen, true, n_seen, n_true in batch.itertuples(index=False, name=None):
                 f = rank_features(seen, true, n_seen, n_true)
-                if f[0] <= 1.5 and f[1] > 0:
+                if f[0] <= 3.0:  # beyond that no way from one to the other was found
                     rows.append((seen, true))
                     x.append(f)
             p = boosting.predict(model, x) if x else []
