@@ -27,7 +27,7 @@ from leafwork.llm.furniture import NUMBERED, PAGE_NUMBER, ROMAN_NUMBERED, SENTEN
 from leafwork.runtime import broadcast_if_small, materialize
 
 #: Words the ranker is trained on; how much rarer than its replacement a misread word is; accepted probabilities.
-SAMPLE_WORDS, RARER, ACCEPT, ACCEPT_LINE = 3000, 6.0, 0.5, 0.5
+SAMPLE_WORDS, RARER, ACCEPT, ACCEPT_LINE, ACCEPT_FURNITURE = 3000, 6.0, 0.5, 0.5, 0.65
 QGRAM, SHARED, MIN_WORD, MAX_WORD = 2, 0.3, 3, 24
 #: What a scanner reads for what is printed.
 CONFUSIONS = (
@@ -182,6 +182,13 @@ def train_ranker(sample: list[tuple[str, int]], seed: int = 7) -> dict:
             for other in alike(seen, k):
                 x.append(rank_features(seen, common[other][0], few, common[other][1]))
                 y.append(0)
+        letters = list(w)
+        for _ in range(rng.choice((1, 1, 2))):  # a rare real word a letter or two away is no misread one
+            letters[rng.randrange(len(w))] = rng.choice("abcdefghijklmnopqrstuvwxyz")
+        f = rank_features("".join(letters), w, rng.choice((1, 1, 2, 3)), n)
+        if f[2] > 0:
+            x.append(f)
+            y.append(0)
         for other in alike(w, k):  # real words, some of them as rare as noise
             x.append(rank_features(w, common[other][0], rng.choice((1, 2, n)), common[other][1]))
             y.append(0)
@@ -256,6 +263,7 @@ def page_features(lines: list[str]) -> tuple[list[int], list[list[float]]]:
             float(open_before), float(after[:1].islower()), float(not before), float(not after), float(bool(before) and before[-1] in _HYPHENS), float(len(s.split())),
             float(s[:1].islower()), float(open_before and after[:1].islower() and not s[:1].islower()), float(k > 0 and not lines[k - 1].strip()), float(k + 1 < len(lines) and not lines[k + 1].strip()), float(before.count(" | ") + after.count(" | ")), float(s[-1] in _HYPHENS), len(s) / max(1, len(before)),
             float(bool(re.match(r"#{1,6}\s|[=*_]{2}", s))), float(s in (before, after)), len(s) / (total / len(kept)),
+            (usual - len(s) - 1 - len(after.split(" ", 1)[0])) / usual if after else 0.0,  # would the next word have found room?
         ])
     return kept, rows
 
@@ -398,7 +406,7 @@ def page_lines(texts: DataFrame, keys: list[str], model: dict) -> DataFrame:
             p = boosting.predict(model, x).tolist() if x else []
             out, at = [], 0
             for key, text, lines, asked in pages:
-                gone = [k for k, q in zip(asked, p[at : at + len(asked)], strict=True) if q >= ACCEPT_LINE]
+                gone = [k for k, q in zip(asked, p[at : at + len(asked)], strict=True) if q >= ACCEPT_FURNITURE]
                 at += len(asked)
                 breaks, kept = [], [k for k, s in enumerate(lines) if s.strip() and k not in gone]
                 for a, b in zip(kept, kept[1:]):
